@@ -1,9 +1,10 @@
-import sys
+import os
 from pathlib import Path
 
 import pytest
 
-sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
+# Spark's Python workers import the package from here
+os.environ["PYTHONPATH"] = os.pathsep.join([str(Path(__file__).resolve().parent.parent), *filter(None, [os.environ.get("PYTHONPATH")])])
 
 
 @pytest.fixture(scope="session")
