@@ -13,13 +13,17 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from tokenizers import Tokenizer
 
 from rollcall.llm.common import text_batches
 
 #: Pieces kept with their ids in a worker; beyond it the table starts anew.
 CACHE = 250_000
 #: Unicode White_Space, which the tokenizer file's \s stands for.
-SPACE = r"\t-\r\x20\x85\xa0  -     　"
+SPACE = r"\t-\r\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+
+#: Texts with a character outside these ranges, where Unicode has long been settled, are normalised and cut by the library itself.
+UNSETTLED = regex.compile(r"[^\x00-\u052f\u2000-\u206f\u20a0-\u20b0\u3000-\u3020\u3041-\u3094\u30a1-\u30fe\u4e00-\u9fa5\uac00-\ud7a3]")
 
 
 def byte_letters() -> dict[int, str]:
@@ -33,6 +37,7 @@ class WordBpe:
     """The vocabulary, merges and fixed pre-processing of a word-end BPE file, given as its JSON text."""
 
     def __init__(self, spec: str):
+        self.library = Tokenizer.from_str(spec)
         spec = json.loads(spec)
         model = spec["model"]
         self.vocab: dict[str, int] = model["vocab"]
@@ -42,6 +47,7 @@ class WordBpe:
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self.names = {i: t for t, i in self.vocab.items()} | {i: t for t, i in self.special.items()}
         self.letters = {chr(b): c for b, c in byte_letters().items()}
+        self.bytes = {c: b for b, c in byte_letters().items()}
         self.piece = regex.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|\p{{L}}+|\p{{N}}|[^{SPACE}\p{{L}}\p{{N}}]+")
         self.splitter = regex.compile("(" + "|".join(map(regex.escape, self.special)) + ")") if self.special else None
         self.inside = {pair for token in self.vocab for s in [self._symbols(token)] for pair in zip(s, s[1:])}
@@ -55,9 +61,13 @@ class WordBpe:
             return [*body[:-1], body[-1] + self.end]
         return list(token)
 
-    def normalise(self, text: str) -> str:
+    def cut(self, text: str) -> list[str]:
+        """The normalised text's pieces."""
+        if UNSETTLED.search(text):
+            pieces = self.library.pre_tokenizer.pre_tokenize_str(self.library.normalizer.normalize_str(text))
+            return [bytes(map(self.bytes.__getitem__, p)).decode() for p, _ in pieces]
         # lower-casing goes by single characters, so a final sigma is like any other
-        return unicodedata.normalize("NFC", text).replace("Σ", "σ").lower()
+        return self.piece.findall(unicodedata.normalize("NFC", text).replace("Σ", "σ").lower())
 
     def _merge(self, symbols: list[str]) -> list[str]:
         ranks = self.ranks
@@ -101,7 +111,7 @@ class WordBpe:
     def _plain(self, text: str) -> list[tuple[bytes, str]]:
         known = self.pieces
         found = []
-        for piece in self.piece.findall(self.normalise(text)):
+        for piece in self.cut(text):
             entry = known.get(piece)
             if entry is None:
                 tokens = self.tokens(piece)

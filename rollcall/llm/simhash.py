@@ -32,7 +32,7 @@ def fingerprint(text: str | None, shingle: int = SHINGLE, seed: int = SEED) -> i
     ones = np.zeros(64, np.int64)
     for i in range(0, len(hashes), 1 << 16):
         part = hashes[i : i + (1 << 16)]
-        ones += np.unpackbits(part.view(np.uint8), bitorder="little").reshape(len(part), 64).sum(0)
+        ones += np.unpackbits(part.view(np.uint8), bitorder="little").reshape(len(part), 64).sum(0, dtype=np.int64)
     return int(np.packbits(2 * ones > len(hashes), bitorder="little").view("<u8")[0])
 
 
