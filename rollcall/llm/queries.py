@@ -6,8 +6,23 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rollcall.llm import bpe, decontaminate, exact, simhash
+from rollcall.llm import bpe, decontaminate, exact, langid, quality, simhash, toxicity
 from rollcall.llm.common import table
+from rollcall.llm.sampling import in_fold
+
+
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "labels")
+    model = toxicity.train(docs, labels.where(~in_fold("doc_id", 5, 0)))
+    scored = toxicity.score(docs.withColumn("held_out", in_fold("doc_id", 5, 0)), model)
+    return scored.select("doc_id", "held_out", "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "labels")
+    model = quality.train(docs, labels.where(~in_fold("doc_id", 5, 0)))
+    scored = quality.score(docs.withColumn("held_out", in_fold("doc_id", 5, 0)), model)
+    return scored.select("doc_id", "held_out", "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
 
 
 def op3_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -15,6 +30,13 @@ def op3_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return groups.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = langid.train(docs.where(~in_fold("doc_id", 4, 2)))
+    found = langid.predict(docs.select("doc_id", "text", in_fold("doc_id", 4, 2).alias("held_out")), model)
+    return found.select("doc_id", "held_out", "lang_pred", "score", "langs")
+
+
 def op6_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     coded = bpe.encode_documents(docs, public_tokenizers.path("word_bpe_49k.json"), outputs=("n_tokens", "ids_sha256", "decoded_sha256"))
@@ -32,7 +54,7 @@ def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return groups.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
-QUERIES = {f.__name__: f for f in (op3_simhash_near_dedup, op6_bpe_codec, op8_benchmark_decontamination, op9_exact_dedup)}
+QUERIES = {f.__name__: f for f in (op1_toxicity, op2_quality, op3_simhash_near_dedup, op5_language_id, op6_bpe_codec, op8_benchmark_decontamination, op9_exact_dedup)}
 
 ORACLES = {
     "op8_benchmark_decontamination": r"""
