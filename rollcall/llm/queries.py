@@ -6,8 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rollcall.llm import bpe, decontaminate, exact, langid, quality, simhash, toxicity
-from rollcall.llm.common import table
+from rollcall.llm import bpe, chat, decontaminate, exact, langid, quality, simhash, toxicity
+from rollcall.llm.common import ROW, table
 from rollcall.llm.sampling import in_fold
 
 
@@ -43,6 +43,24 @@ def op6_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     return coded.select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
 
 
+def _reply_calls(rows: DataFrame, role: str, text: str) -> DataFrame:
+    """The table has no tool calls, so each user turn is taken as a call of `reply`, which comes after the system turn if that is turn 0."""
+    name = lambda t: F.concat_ws("-", "conv", t)
+    arguments = F.to_json(F.struct(F.col(text).alias("text"), F.col("turn").alias("turn")))
+    return rows.where(F.col(role) != "assistant").select(ROW, "conv", "turn", F.lit(0).alias("seq"), name("turn").alias("call_id"), F.when(F.col(role) == "user", F.lit("reply")).otherwise(F.lit("instruct")).alias("name"), arguments.alias("arguments"), F.when(F.col("turn") == 1, F.array(name(F.lit(0)))).otherwise(F.array().cast("array<string>")).alias("after"))
+
+
+def _reply_results(rows: DataFrame, role: str, text: str) -> DataFrame:
+    """Each assistant turn is taken as the result of the turn before it."""
+    return rows.where(F.col(role) == "assistant").select("conv", "turn", F.concat_ws("-", "conv", F.col("turn") - 1).alias("call_id"), F.col(text).alias("content"))
+
+
+def op7_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    fields = [("reply", "text", "string", True), ("reply", "turn", "integer", True), ("instruct", "text", "string", True), ("instruct", "turn", "integer", True)]
+    schemas = spark.sql("SELECT * FROM VALUES " + ", ".join(f"('{n}', '{f}', '{k}', {r})" for n, f, k, r in fields) + " AS s(name, field, kind, required)")
+    return chat.format_messages(table(spark, sf_dir, "conversations"), schemas, _reply_calls, _reply_results)
+
+
 def op8_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.select("doc_id", "n_words", "n_hit", F.size("item_ids").cast("long").alias("n_items"), F.sha2(F.array_join("item_ids", ","), 256).alias("items_sha256"), "contaminated")
@@ -54,7 +72,7 @@ def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return groups.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
-QUERIES = {f.__name__: f for f in (op1_toxicity, op2_quality, op3_simhash_near_dedup, op5_language_id, op6_bpe_codec, op8_benchmark_decontamination, op9_exact_dedup)}
+QUERIES = {f.__name__: f for f in (op1_toxicity, op2_quality, op3_simhash_near_dedup, op5_language_id, op6_bpe_codec, op7_chat_formatting, op8_benchmark_decontamination, op9_exact_dedup)}
 
 ORACLES = {
     "op8_benchmark_decontamination": r"""
