@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rollcall.llm import bpe, chat, decontaminate, exact, langid, quality, simhash, toxicity
+from rollcall.llm import bpe, chat, decontaminate, exact, langid, quality, simhash, substring, suffix, toxicity
 from rollcall.llm.common import ROW, table
 from rollcall.llm.sampling import in_fold
 
@@ -30,6 +30,12 @@ def op3_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return groups.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    out = substring.remove_repeated_words(docs, {"n_words": "n_items", "n_removed": "n_removed", "kept_sha256": "kept_sha256"})
+    return out.select("doc_id", "n_words", "n_removed", "kept_sha256")
+
+
 def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = langid.train(docs.where(~in_fold("doc_id", 4, 2)))
@@ -72,9 +78,23 @@ def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return groups.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
-QUERIES = {f.__name__: f for f in (op1_toxicity, op2_quality, op3_simhash_near_dedup, op5_language_id, op6_bpe_codec, op7_chat_formatting, op8_benchmark_decontamination, op9_exact_dedup)}
+def op10_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    out = suffix.remove_repeated_bytes(docs, {"n_bytes": "n_items", "n_removed": "n_removed", "n_spans": "n_spans", "kept_sha256": "kept_sha256"})
+    return out.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
+QUERIES = {f.__name__: f for f in (op1_toxicity, op2_quality, op3_simhash_near_dedup, op4_substring_dedup, op5_language_id, op6_bpe_codec, op7_chat_formatting, op8_benchmark_decontamination, op9_exact_dedup, op10_suffix_array_dedup)}
 
 ORACLES = {
+    "op4_substring_dedup": r"""
+WITH d AS (SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents),
+win AS (SELECT doc_id, i, array_to_string(w[i : i + 12], ' ') AS t FROM (SELECT doc_id, w, unnest(range(1, len(w) - 11)) AS i FROM d)),
+least_id AS (SELECT t, min(doc_id) AS m FROM win GROUP BY t HAVING count(*) > 1),
+gone AS (SELECT DISTINCT doc_id, unnest(range(i, i + 13)) AS p FROM win JOIN least_id USING (t) WHERE m < doc_id),
+kept AS (SELECT doc_id, unnest(w) AS x, unnest(range(1, len(w) + 1)) AS p FROM d),
+k AS (SELECT doc_id, count(*) AS n, string_agg(x, ' ' ORDER BY p) AS s FROM kept ANTI JOIN gone USING (doc_id, p) GROUP BY doc_id)
+SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, len(w) - coalesce(n, 0) AS n_removed, sha256(coalesce(s, '')) AS kept_sha256 FROM d LEFT JOIN k USING (doc_id)""",
     "op8_benchmark_decontamination": r"""
 WITH d AS (SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') AS w FROM documents),
 b AS (SELECT item_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') AS w FROM benchmark),
