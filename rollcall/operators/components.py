@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rollcall.llm.common import materialise
+from rollcall.storage import materialise
 
 
 def components(edges: DataFrame) -> DataFrame:
