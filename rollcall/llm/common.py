@@ -2,41 +2,19 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Rows of a keys-only side that may be broadcast: at 8 to 24 bytes a row this is at most some 48 MB.
-BROADCAST_ROWS = 2_000_000
+from rollcall.storage import BROADCAST_ROWS, materialise, small, table
 
-ROW = "__rc_row"
-
-
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-
-
-def shared_dir(spark: SparkSession) -> str:
-    """The folder in spark.checkpoint.dir, which driver and executors share; a temporary one only where that is unset (local tests)."""
-    configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if not configured:
-        configured = tempfile.mkdtemp(prefix="rollcall-")
-        spark.conf.set("spark.checkpoint.dir", configured)
-    return configured.rstrip("/")
+__all__ = ["BROADCAST_ROWS", "ROW", "drop_rows", "flat_bytes", "materialise", "ranges", "small", "table", "text_batches", "with_row"]
 
-
-def materialise(df: DataFrame, codec: str = "zstd") -> DataFrame:
-    """df written once as Parquet to the shared folder and read back: lineage ends there, and a lost executor loses nothing of it."""
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/rollcall/{spark.sparkContext.applicationId}/{uuid.uuid4().hex}"
-    df.write.option("compression", codec).parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+ROW = "__rc_row"
 
 
 def with_row(df: DataFrame) -> DataFrame:
@@ -44,11 +22,6 @@ def with_row(df: DataFrame) -> DataFrame:
     return df.withColumn(ROW, F.monotonically_increasing_id())
 
 
-def small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
-    """df marked for broadcast if it was counted at rows or fewer; else unmarked, for a shuffled join. df should be materialised."""
-    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
-
-
 def drop_rows(docs: DataFrame, dropped: DataFrame) -> DataFrame:
     """docs without the rows whose number is in dropped (one column, ROW); columns of docs as they were."""
     return with_row(docs).join(small(materialise(dropped.select(ROW))), ROW, "left_anti").drop(ROW)

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rollcall.llm.common import ROW, drop_rows, materialise, text_batches, with_row
-from rollcall.llm.components import components
+from rollcall.operators.components import components
 
 SHINGLE, SEED, RADIUS = 3, 42, 2
 #: Fingerprints that share a key beyond which the key is refined by 16 more bits.
