@@ -7,6 +7,7 @@ from collections.abc import Callable
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType
 
 from rollcall.functions.text import GENERIC_WORDS, MIN_TOKEN
 
@@ -87,7 +88,7 @@ def name_similarity(a: str, b: str) -> float:
 
 
 def _arrow(measure: Callable[[str, str], float]) -> Callable[[Column, Column], Column]:
-    @F.pandas_udf("double")
+    @F.pandas_udf(DoubleType())
     def udf(a: pd.Series, b: pd.Series) -> pd.Series:
         known: dict[tuple[str, str], float] = {}
         out = []
