@@ -64,8 +64,9 @@ def classified(digits: Column, plan: NumberingPlan = PLAN) -> Column:
 
 
 def _result(digits: Column, plan: NumberingPlan) -> Column:
-    found = classified(without_country(digits, plan), plan)
-    return F.struct(F.concat(F.lit("+" + plan.country), found["national"]).alias("e164"), found["status"].alias("status"))
+    # each transform binds its value once; written out, the expression would repeat it dozens of times
+    found = F.transform(F.array(without_country(digits, plan)), lambda d: classified(d, plan))
+    return F.get(F.transform(found, lambda r: F.struct(F.concat(F.lit("+" + plan.country), r["national"]).alias("e164"), r["status"].alias("status"))), 0)
 
 
 def _fixed(status: str) -> Column:

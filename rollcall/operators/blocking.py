@@ -67,5 +67,6 @@ def with_sides(pairs: DataFrame, entities: DataFrame) -> DataFrame:
 
 def sample_by_zone(pairs: DataFrame, per_zone: int = 140, seed: int = 42) -> DataFrame:
     """per_zone pairs of each zone, chosen by a hash of seed and pair."""
-    rank = F.row_number().over(Window.partitionBy("zone").orderBy(F.xxhash64(F.lit(seed), "entity_a", "entity_b"), "entity_a", "entity_b"))
+    order = F.md5(F.concat_ws(":", F.lit(seed), "entity_a", "entity_b"))
+    rank = F.row_number().over(Window.partitionBy("zone").orderBy(order, "entity_a", "entity_b"))
     return pairs.withColumn("rank", rank).where(F.col("rank") <= per_zone).drop("rank")

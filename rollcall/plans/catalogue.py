@@ -1,6 +1,25 @@
-"""Every named query with its oracle SQL."""
+"""Every named query with its oracle SQL. Inputs are rendered from the star-schema tables by expressions that both engines read alike."""
 
 from __future__ import annotations
 
-QUERIES: dict = {}
-ORACLES: dict = {}
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+
+Query = Callable[[SparkSession, str], DataFrame]
+
+QUERIES: dict[str, Query] = {}
+ORACLES: dict[str, str] = {}
+
+
+def query(oracle: str | None = None) -> Callable[[Query], Query]:
+    def add(f: Query) -> Query:
+        QUERIES[f.__name__] = f
+        if oracle:
+            ORACLES[f.__name__] = oracle
+        return f
+
+    return add
+
+
+from rollcall.plans import contact_queries, cube_queries, linkage_queries  # noqa: E402, F401
