@@ -17,8 +17,8 @@ from tokenizers import Tokenizer
 
 from rollcall.llm.common import text_batches
 
-#: Pieces kept with their ids in a worker; beyond it the table starts anew.
-CACHE = 250_000
+#: Pieces, and fragments, that each of a worker's two table generations keeps.
+CACHE = 50_000
 #: Unicode White_Space, which the tokenizer file's \s stands for.
 SPACE = r"\t-\r\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 
@@ -33,6 +33,28 @@ def byte_letters() -> dict[int, str]:
     return {b: chr(b) for b in plain} | {b: chr(256 + i) for i, b in enumerate(rest)}
 
 
+class Recent(dict):
+    """A table of at most twice CACHE entries: when the newer half is full it becomes the older one, and what is used again moves on."""
+
+    def __init__(self):
+        super().__init__()
+        self.older: dict = {}
+
+    def find(self, key):
+        value = self.get(key)
+        if value is None:
+            value = self.older.get(key)
+            if value is not None:
+                self.keep(key, value)
+        return value
+
+    def keep(self, key, value) -> None:
+        if len(self) >= CACHE:
+            self.older = dict(self)
+            self.clear()
+        self[key] = value
+
+
 class WordBpe:
     """The vocabulary, merges and fixed pre-processing of a word-end BPE file, given as its JSON text."""
 
@@ -51,8 +73,8 @@ class WordBpe:
         self.piece = regex.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|\p{{L}}+|\p{{N}}|[^{SPACE}\p{{L}}\p{{N}}]+")
         self.splitter = regex.compile("(" + "|".join(map(regex.escape, self.special)) + ")") if self.special else None
         self.inside = {pair for token in self.vocab for s in [self._symbols(token)] for pair in zip(s, s[1:])}
-        self.pieces: dict[str, tuple[bytes, str]] = {}
-        self.fragments: dict[tuple[str, ...], tuple[str, ...]] = {}
+        self.pieces = Recent()
+        self.fragments = Recent()
 
     def _symbols(self, token: str) -> list[str]:
         """A token's letters; the last one carries the word end, if there is one."""
@@ -70,21 +92,20 @@ class WordBpe:
         return self.piece.findall(unicodedata.normalize("NFC", text).replace("Σ", "σ").lower())
 
     def _merge(self, symbols: list[str]) -> list[str]:
-        ranks = self.ranks
-        while len(symbols) > 1:
-            best, at = min((ranks.get(pair, 1 << 60), i) for i, pair in enumerate(zip(symbols, symbols[1:])))
-            if best == 1 << 60:
+        """Joins the adjacent pair of the lowest rank, the leftmost of several, until no pair has one."""
+        rank, none = self.ranks.get, 1 << 60
+        ranks = [rank(pair, none) for pair in zip(symbols, symbols[1:])]
+        while ranks:
+            best = min(ranks)
+            if best == none:
                 break
-            left, right = symbols[at], symbols[at + 1]
-            out, i = [], 0
-            while i < len(symbols):
-                if i + 1 < len(symbols) and symbols[i] == left and symbols[i + 1] == right:
-                    out.append(left + right)
-                    i += 2
-                else:
-                    out.append(symbols[i])
-                    i += 1
-            symbols = out
+            at = ranks.index(best)
+            symbols[at] += symbols.pop(at + 1)
+            del ranks[at]
+            if at < len(ranks):
+                ranks[at] = rank((symbols[at], symbols[at + 1]), none)
+            if at:
+                ranks[at - 1] = rank((symbols[at - 1], symbols[at]), none)
         return symbols
 
     def tokens(self, piece: str) -> list[str]:
@@ -99,26 +120,24 @@ class WordBpe:
                 if len(key) == 1:
                     out.append(key[0])
                 else:
-                    found = self.fragments.get(key)
+                    found = self.fragments.find(key)
                     if found is None:
-                        if len(self.fragments) >= CACHE:
-                            self.fragments.clear()
-                        found = self.fragments[key] = tuple(self._merge(list(key)))
+                        found = tuple(self._merge(list(key)))
+                        self.fragments.keep(key, found)
                     out.extend(found)
                 start = i
         return out
 
     def _plain(self, text: str) -> list[tuple[bytes, str]]:
         known = self.pieces
+        newest = known.get
         found = []
         for piece in self.cut(text):
-            entry = known.get(piece)
-            if entry is None:
+            entry = newest(piece)
+            if entry is None and (entry := known.find(piece)) is None:
                 tokens = self.tokens(piece)
                 entry = (np.array([self.vocab[t] for t in tokens], "<u4").tobytes(), " ".join(tokens))
-                if len(known) >= CACHE:
-                    known.clear()
-                known[piece] = entry
+                known.keep(piece, entry)
             found.append(entry)
         return found
 
@@ -154,7 +173,7 @@ def encode_documents(docs: DataFrame, tokenizer: str, text_col: str = "text", ou
 
     tokenizer is the path of a word-end BPE file; the driver reads it (some 2 MB) and broadcasts its text.
     Null and empty texts have no tokens, empty bytes and an empty decoded text. An output replaces a column of
-    docs with its name. decoded is made from the ids. No shuffle; a worker holds at most CACHE pieces.
+    docs with its name. decoded is made from the ids. No shuffle; a worker holds at most twice CACHE pieces and fragments.
     """
     with open(tokenizer, encoding="utf-8") as file:
         spec = docs.sparkSession.sparkContext.broadcast(file.read())
