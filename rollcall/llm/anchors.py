@@ -233,7 +233,7 @@ def segments(rows: DataFrame, flagged: DataFrame, spec: Windows, hot: bool) -> D
 Solver = Callable[[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray, np.ndarray]]
 
 
-def solved(found: DataFrame, solver: Solver, most: int = 1 << 18) -> DataFrame:
+def solved(found: DataFrame, solver: Solver, most: int = 1 << 15) -> DataFrame:
     """Spans (ROW, start, end) that solver finds in whole groups of an anchor, about most segments at a time.
 
     solver(anchor, row, id, place, first, windows, data, offsets) gets rows sorted by anchor, id and row.
