@@ -17,6 +17,7 @@ from rollcall.llm.common import text_batches
 from rollcall.llm.hashing import mix
 
 UNKNOWN = "und"
+SALTS = 32
 
 
 @dataclass(frozen=True)
@@ -46,7 +47,8 @@ def _letters() -> tuple[np.ndarray, np.ndarray]:
 def grams(texts: pa.Array, bits: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """For the words (runs of letters) of all texts: the row of each, where its n-grams start, and the n-grams' numbers.
 
-    A word's n-grams are its 1- to 3-grams of lower-cased letters, with the word's ends as letters of their own.
+    A word's n-grams are those of one to three lower-cased letters, the word's ends being letters of their own, that end
+    at its second letter, a later one or the closing end: three for each letter.
     """
     is_letter, lower = _letters()
     encoded = [t.encode("utf-32-le", "surrogatepass") if t else b"" for t in texts.to_pylist()]
@@ -148,8 +150,12 @@ def train(docs: DataFrame, lang_col: str = "lang", id_col: str = "doc_id", text_
     names = sorted(r.l for r in known.groupBy("l").count().orderBy(F.desc("count"), "l").limit(spec.languages).collect())
     if not names:
         return [], np.zeros((1 << spec.bits, 0), np.float32)
-    rank = F.row_number().over(Window.partitionBy("l").orderBy(F.xxhash64("i"), "i"))
-    chosen = known.where(F.col("l").isin(names) & F.col("i").isNotNull()).withColumn("r", rank).where(F.col("r") <= spec.rows).select("l", "i")
+    # the first rows of each of SALTS parts of a language, then of the language: no task sorts more than SALTS x rows of one language
+    rank = lambda *by: F.row_number().over(Window.partitionBy(*by).orderBy(F.xxhash64("i"), "i"))
+    chosen = known.where(F.col("l").isin(names) & F.col("i").isNotNull()).withColumn("salt", F.pmod(F.hash("i"), F.lit(SALTS)))
+    for by in (("l", "salt"), ("l",)):
+        chosen = chosen.withColumn("r", rank(*by)).where(F.col("r") <= spec.rows)
+    chosen = chosen.select("l", "i")
     rows = docs.select(F.col(lang_col).alias("l"), F.col(id_col).alias("i"), F.col(text_col).alias("t")).join(F.broadcast(chosen.distinct()), ["l", "i"])
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
