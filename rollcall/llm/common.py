@@ -27,7 +27,7 @@ def drop_rows(docs: DataFrame, dropped: DataFrame) -> DataFrame:
     return with_row(docs).join(small(materialise(dropped.select(ROW))), ROW, "left_anti").drop(ROW)
 
 
-def text_batches(batches: Iterable[pa.RecordBatch], text: int, limit: int = 1 << 21) -> Iterator[pa.RecordBatch]:
+def text_batches(batches: Iterable[pa.RecordBatch], text: int, limit: int = 1 << 19) -> Iterator[pa.RecordBatch]:
     """The same rows in smaller batches: texts of at most limit bytes together, or one longer text."""
     for batch in batches:
         sizes = pc.fill_null(pc.binary_length(batch.column(text)), 0).to_numpy(zero_copy_only=False)
