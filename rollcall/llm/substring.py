@@ -11,7 +11,7 @@ from rollcall.llm.common import ranges
 from rollcall.llm.hashing import mix, window_hashes
 from rollcall.llm.repeats import marks, without_marks
 
-WORDS = Windows(length=13, gram=5, words=True, by_document=True)
+WORDS = Windows(length=13, gram=5, words=True, by_document=True, hot=256)
 
 
 def factors(anchor, row, id, place, first, windows, data, offsets, length: int = WORDS.length) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
