@@ -54,8 +54,9 @@ def dense(rows: DataFrame, place: str = "place", sector: str = "sector") -> Data
     cells = rows.groupBy(place, sector).agg(F.count("*").alias("n"))
     places = cells.where(F.col(place).isNotNull()).groupBy(place).agg(F.sum("n").alias("place_total"))
     sectors = cells.groupBy(sector).agg(F.sum("n").alias("sector_total")).withColumn("total", F.sum("sector_total").over(Window.partitionBy()))
-    pairs = places.groupBy().agg(F.collect_list(F.struct(place, "place_total")).alias("p"))  # one element for each place name
-    grid = sectors.withColumn("p", F.lit(1)).drop("p").join(F.broadcast(pairs)).select(sector, "sector_total", "total", F.explode("p").alias("p")).select(f"p.{place}", sector, "p.place_total", "sector_total", "total")
+    # sectors are a closed vocabulary: one short row; places stay distributed
+    listed = sectors.groupBy().agg(F.collect_list(F.struct(sector, "sector_total", "total")).alias("s"))
+    grid = places.join(F.broadcast(listed)).select(place, "place_total", F.explode("s").alias("s")).select(place, "place_total", f"s.{sector}", "s.sector_total", "s.total")
     return grid.join(cells, [place, sector], "left").withColumn("n", F.coalesce("n", F.lit(0)))
 
 
@@ -114,6 +115,18 @@ def compared(grid: DataFrame, first: str, second: str, focus: str | None = None,
     return both.orderBy((F.col(sector) != F.lit(focus or "")).cast("int"), F.desc(F.greatest("first_n", "second_n")), sector).limit(top)
 
 
+def table_rows(grid: DataFrame, by: str, descending: bool = True, place: str = "place") -> DataFrame:
+    """A row for each place with its total, dominant sector and share, ordered by a chosen column; null counts as -1 among numbers, names order as text."""
+    rows = dominant(grid, place).join(grid.select(place, F.col("place_total").alias("total")).distinct(), place)
+    key = F.col(by) if dict(rows.dtypes)[by] == "string" else F.coalesce(F.col(by), F.lit(-1))
+    return rows.orderBy(key.desc() if descending else key.asc(), place)
+
+
+def any_place(grid: DataFrame, current: str, seed: int, place: str = "place") -> DataFrame:
+    """One place other than the current one, chosen by a hash of seed and name."""
+    return grid.select(place).distinct().where(F.col(place) != current).orderBy(F.md5(F.concat_ws(":", F.lit(seed), place)), place).limit(1)
+
+
 def tiles(rows: DataFrame, place: str = "place", sector: str = "sector") -> DataFrame:
     return rows.agg(F.count("*").alias("total"), F.count(place).alias("located"), F.count_distinct(place).alias("places"), F.count_distinct(sector).alias("sectors"))
 

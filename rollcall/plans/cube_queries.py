@@ -308,3 +308,24 @@ FROM grid JOIN pop ON pop.place = grid.place GROUP BY 1""")
 def q_json_payload(spark, sf_dir):
     none = table(spark, sf_dir, "nation").where("false").select(F.col("n_name").alias("place"), F.array("n_name").alias("quartiers"))
     return cube.payload(cube.dense(rows_of(spark, sf_dir)), population(spark, sf_dir), none, {"BUILDING": "Bâti"})
+
+
+@query(f"WITH {_GRID}, r AS (SELECT *, row_number() OVER (PARTITION BY place ORDER BY n DESC, sector) AS r FROM grid) SELECT place, sector AS dominant, CAST(floor(100.0 * n / place_total + 0.5) AS BIGINT) AS share, place_total AS total FROM r WHERE r = 1 ORDER BY place_total DESC, place LIMIT 10")
+def q_table_rows(spark, sf_dir):
+    return cube.table_rows(cube.dense(rows_of(spark, sf_dir)), "total").limit(10).select("place", "dominant", "share", "total")
+
+
+@query(f"WITH {_ROWS} SELECT place FROM (SELECT DISTINCT place FROM cr) WHERE place <> 'NATION_3' ORDER BY md5('7:' || place), place LIMIT 1")
+def q_any_place(spark, sf_dir):
+    return cube.any_place(cube.dense(rows_of(spark, sf_dir)), "NATION_3", 7)
+
+
+@query("SELECT n_name AS name, 2 AS rings, 5 AS world_vertices FROM nation")
+def q_mask(spark, sf_dir):
+    return _shapes(spark, sf_dir).select(F.col("shape_name").alias("name"), geo.mask(F.col("coordinates")).alias("m")).select("name", F.size("m").alias("rings"), F.size(F.get("m", F.lit(0))).alias("world_vertices"))
+
+
+@query("""SELECT n_name AS name, '{"type":"Feature","properties":{"name":"' || n_name || '"},"geometry":{"type":"MultiPolygon","coordinates":[[[[0.5,' || n_nationkey || '.0],[1.0,0.0]]]]}}' AS feature FROM nation""")
+def q_feature(spark, sf_dir):
+    ring = F.array(F.array(F.lit(0.50001), F.col("n_nationkey").cast("double")), F.array(F.lit(1.0), F.lit(0.0)))
+    return table(spark, sf_dir, "nation").select(F.col("n_name").alias("name"), geo.feature(F.col("n_name"), F.array(F.array(ring))).alias("feature"))

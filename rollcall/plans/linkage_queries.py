@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from rollcall.functions import scoring, similarity
 from rollcall.functions.text import blocking_tokens, canonical
-from rollcall.operators import blocking, clustering, evaluation, exact, linkage
+from rollcall.operators import blocking, clustering, evaluation, exact, judging, linkage
 from rollcall.operators.components import components
 from rollcall.plans.catalogue import query
 from rollcall.storage import table
@@ -217,3 +217,34 @@ def q_score_bands(spark, sf_dir):
 SELECT tp, fp, fn, tn, CASE WHEN tp + fp > 0 THEN tp / (tp + fp) END AS precision, CASE WHEN tp + fn > 0 THEN tp / (tp + fn) END AS recall FROM c""")
 def q_confusion(spark, sf_dir):
     return evaluation.confusion(_gold(spark, sf_dir))
+
+
+@query(f"""WITH RECURSIVE e AS ({_CHAIN}), w AS (SELECT c_custkey AS node, c_custkey AS root FROM customer WHERE c_custkey NOT IN (SELECT b FROM e) UNION ALL SELECT e.b, w.root FROM w JOIN e ON e.a = w.node),
+s AS (SELECT root, count(*) AS n FROM w GROUP BY 1) SELECT (SELECT count(*) FROM s) AS clusters, string_agg(n, ',' ORDER BY n DESC) AS largest FROM (SELECT n FROM s ORDER BY n DESC LIMIT 5)""")
+def q_cluster_profile(spark, sf_dir):
+    ids = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("id"))
+    found, _ = clustering.clusters(_chain(spark, sf_dir).withColumn("score", F.lit(1.0)), ids)
+    return clustering.profile(found).select("clusters", F.array_join("largest", ",").alias("largest"))
+
+
+_VERDICTS = "SELECT doc_id AS entity_a, doc_id + 1 AS entity_b, CASE WHEN toxic = 1 THEN 'meme' ELSE 'diff' END AS verdict FROM labels"
+
+
+@query(f"""WITH g AS ({_GOLD}), v AS ({_VERDICTS}) SELECT entity_a AS a, entity_b AS b, CAST(score AS DOUBLE) AS score FROM g WHERE zone = 'fusion' UNION ALL SELECT g.entity_a, g.entity_b, CAST(score AS DOUBLE) FROM g JOIN v ON g.entity_a = v.entity_a AND g.entity_b = v.entity_b WHERE v.verdict = 'meme'""")
+def q_final_edges(spark, sf_dir):
+    return judging.final_edges(_gold(spark, sf_dir), spark.sql(_VERDICTS))
+
+
+@query(f"""WITH g AS ({_GOLD}) SELECT g.entity_a, g.entity_b, CASE WHEN g.entity_a % 2 = 0 THEN 'name,phone' ELSE '' END AS channels, CASE WHEN g.entity_a % 2 = 0 THEN CAST(g.score AS DOUBLE) ELSE 0.0::DOUBLE END AS name_sim FROM g""")
+def q_gold_context(spark, sf_dir):
+    gold = _gold(spark, sf_dir)
+    pairs = gold.where("entity_a % 2 = 0").select("entity_a", "entity_b", F.array(F.lit("name"), F.lit("phone")).alias("channels"), F.col("score").alias("name_sim"))
+    return judging.with_gold_context(gold, pairs).select("entity_a", "entity_b", F.array_join("channels", ",").alias("channels"), "name_sim")
+
+
+@query(_SCORED + """, l AS (SELECT row_number() OVER (ORDER BY a, b) AS k, * FROM zz) SELECT a AS entity_a, b AS entity_b, '1. A: "' || x.nn || '" (' || x.place || '; ?) | B: "' || y.nn || '" (' || y.place || '; ?) | names 0.50 | ' ||
+CASE WHEN channels LIKE '%phone%' AND channels LIKE '%email%' THEN 'same phone, same e-mail' WHEN channels LIKE '%phone%' THEN 'same phone' WHEN channels LIKE '%email%' THEN 'same e-mail' ELSE 'no contact known to be shared' END AS line FROM l JOIN nm x ON x.id = a JOIN nm y ON y.id = b""")
+def q_pair_lines(spark, sf_dir):
+    side = lambda x: F.struct(F.col(f"{x}_side.name_norm").alias("name"), F.col(f"{x}_side.communes").alias("communes"), F.array().cast("array<string>").alias("quartiers"), F.lit(None).cast("string").alias("sector_label")).alias(f"{x}_side")
+    p = F.struct(side("a"), side("b"), "channels", F.lit(0.5).alias("name_sim"))
+    return _pairs(spark, sf_dir).select(F.col("a").alias("entity_a"), F.col("b").alias("entity_b"), p.alias("p")).select("entity_a", "entity_b", judging.described(F.lit(1)).alias("line"))
