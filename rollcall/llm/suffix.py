@@ -6,11 +6,12 @@ from bisect import bisect_left
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rollcall.llm.anchors import Windows
-from rollcall.llm.common import ranges
+from rollcall.llm.anchors import Windows, occurrences, segments
+from rollcall.llm.common import ROW, materialise, ranges, with_row
 from rollcall.llm.hashing import mix, range_hashes
 from rollcall.llm.repeats import marks, without_marks
 
@@ -71,6 +72,50 @@ def interval_repeats(lcp: list[int], lefts: list[bytes], length: int) -> Iterato
         yield from close(depths.pop())
 
 
+def maximal_groups(lcp: list[int], lefts: list[bytes], length: int) -> Iterator[tuple[int, int, list[int]]]:
+    """(left, right, members) of every maximal repeat of at least length items around the start of one group of suffixes, with all its occurrences.
+
+    Input as for interval_repeats. Intervals close from the deepest up, all children of an interval at once. Its
+    members, in the order of what stands before them, form intervals by common left extension; such an interval is a
+    repeat that cannot be extended to the left, and not to the right either if its members come from
+    more than one child. Every occurrence is listed, so the output may be much larger than the spans to remove.
+    """
+    n = len(lefts)
+    order = sorted(range(n), key=lefts.__getitem__)
+    place = [0] * n
+    for i, x in enumerate(order):
+        place[x] = i
+
+    def close(children: list[list[int]], depth: int) -> Iterator[tuple[int, int, list[int]]]:
+        child = {x: c for c, members in enumerate(children) for x in members}
+        merged = sorted(child)
+        open_left: list[tuple[int, int]] = []  # (common left extension, first member) of left intervals that may go on
+        for i in range(1, len(merged) + 1):
+            shared = common(lefts[order[merged[i - 1]]], lefts[order[merged[i]]]) if i < len(merged) else -1
+            first = i - 1
+            while open_left and open_left[-1][0] > shared:
+                left, first = open_left.pop()
+                inside = merged[first:i]
+                if left + depth >= length and len({child[x] for x in inside}) > 1:
+                    yield left, depth, [order[x] for x in inside]
+            if i < len(merged) and (not open_left or open_left[-1][0] < shared):
+                open_left.append((shared, first))
+        sets.append(merged)
+
+    sets, depths = [[place[0]]], []
+    for i in range(1, n + 1):
+        now = lcp[i - 1] if i < n else -1
+        while depths and depths[-1] > now:
+            depth, children = depths[-1], [sets.pop()]
+            while depths and depths[-1] == depth:
+                depths.pop()
+                children.append(sets.pop())
+            yield from close(children, depth)
+        if i < n:
+            depths.append(now)
+            sets.append([place[i]])
+
+
 def _first_difference(a: np.ndarray, b: np.ndarray, most: np.ndarray) -> np.ndarray:
     """Of each pair of rows, the length of the common prefix, at most `most`."""
     out = np.empty(len(a), np.int64)
@@ -80,6 +125,29 @@ def _first_difference(a: np.ndarray, b: np.ndarray, most: np.ndarray) -> np.ndar
     return np.minimum(out, most)
 
 
+def _sides(place, first, windows, data, offsets, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """How many items stand before and from each anchor on, and both as matrices, padded with zeros; what stands before is read backwards."""
+    left = place - first
+    right = windows + length - 1 - left
+    n, begin = len(place), offsets[:-1]
+    after = np.zeros((n, int(right.max())), np.uint8)
+    after[np.repeat(np.arange(n), right), ranges(np.zeros(n, np.int64), right)] = data[ranges(begin + left, right)]
+    before = np.zeros((n, max(1, int(left.max()))), np.uint8)
+    reach = ranges(np.zeros(n, np.int64), left)
+    before[np.repeat(np.arange(n), left), reach] = data[np.repeat(begin + left - 1, left) - reach]
+    return left, right, before, after
+
+
+def _sorted_suffixes(of: np.ndarray, anchor: np.ndarray, after: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The segments `of` by anchor and suffix, the common prefix of each two neighbours (0 between anchors), and the bounds of the anchors' groups."""
+    key = np.ascontiguousarray(after[of]).view(f"S{after.shape[1]}").ravel()
+    of = of[np.lexsort((key, anchor[of]))]
+    a, b = of[:-1], of[1:]
+    together = anchor[a] == anchor[b]
+    lcp = np.where(together, _first_difference(after[a], after[b], np.minimum(right[a], right[b])), 0)
+    return of, lcp, np.r_[0, np.flatnonzero(~together) + 1, len(of)]
+
+
 def repeats(anchor, row, id, place, first, windows, data, offsets, length: int = BYTES.length) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Row, start and end of repeats that together cover every item in a run of length items that the segments hold twice.
 
@@ -87,17 +155,10 @@ def repeats(anchor, row, id, place, first, windows, data, offsets, length: int =
     starts at its anchor, is enough: the suffix array is sorted within each anchor, with the common
     prefix of neighbours. Equal segments are one suffix.
     """
-    left = place - first
-    right = windows + length - 1 - left
+    left, right, before, after = _sides(place, first, windows, data, offsets, length)
     n = len(anchor)
-    begin = offsets[:-1]
-    after = np.zeros((n, int(right.max())), np.uint8)
-    after[np.repeat(np.arange(n), right), ranges(np.zeros(n, np.int64), right)] = data[ranges(begin + left, right)]
-    before = np.zeros((n, max(1, int(left.max()))), np.uint8)
-    reach = ranges(np.zeros(n, np.int64), left)
-    before[np.repeat(np.arange(n), left), reach] = data[np.repeat(begin + left - 1, left) - reach]
 
-    keys = mix(range_hashes(data, begin, offsets[1:]) ^ mix(anchor.view(np.uint64)) ^ mix(left.astype(np.uint64)))
+    keys = mix(range_hashes(data, offsets[:-1], offsets[1:]) ^ mix(anchor.view(np.uint64)) ^ mix(left.astype(np.uint64)))
     _, of, group = np.unique(keys, return_index=True, return_inverse=True)
     chief = of[group]
     equal = (after == after[chief]).all(1) & (before == before[chief]).all(1) & (left == left[chief]) & (right == right[chief])
@@ -107,13 +168,8 @@ def repeats(anchor, row, id, place, first, windows, data, offsets, length: int =
     rows, starts, ends = [row[many]], [first[many]], [(first + windows + length - 1)[many]]
 
     alone = np.flatnonzero(chief == np.arange(n))
-    key = np.ascontiguousarray(after[alone]).view(f"S{after.shape[1]}").ravel()
-    alone = alone[np.lexsort((key, anchor[alone]))]
     if len(alone) > 1:
-        a, b = alone[:-1], alone[1:]
-        together = anchor[a] == anchor[b]
-        lcp = np.where(together, _first_difference(after[a], after[b], np.minimum(right[a], right[b])), 0)
-        cut = np.r_[0, np.flatnonzero(~together) + 1, len(alone)]
+        alone, lcp, cut = _sorted_suffixes(alone, anchor, after, right)
         two = np.flatnonzero(np.diff(cut) == 2)
         x, y, depth = alone[cut[two]], alone[cut[two] + 1], lcp[cut[two]]
         shared = _first_difference(before[x], before[y], np.minimum(left[x], left[y]))
@@ -135,6 +191,19 @@ def repeats(anchor, row, id, place, first, windows, data, offsets, length: int =
     return tuple(map(np.concatenate, (rows, starts, ends)))
 
 
+def groups(anchor, row, id, place, first, windows, data, offsets, length: int = BYTES.length) -> list[tuple[int, int, int, int]]:
+    """(number, length, row, start) for every occurrence of every maximal repeat within the reach of its anchor."""
+    left, right, before, after = _sides(place, first, windows, data, offsets, length)
+    of, lcp, cut = _sorted_suffixes(np.arange(len(anchor)), anchor, after, right)
+    out, number = [], 0
+    for s, e in zip(cut, cut[1:]):
+        if e - s > 1:
+            for l, r, members in maximal_groups(lcp[s : e - 1].tolist(), [before[i, : left[i]].tobytes() for i in of[s:e]], length):
+                out += [(number, l + r, int(row[of[s + m]]), int(place[of[s + m]] - l)) for m in members]
+                number += 1
+    return out
+
+
 def remove_bytes(text: bytes, spans: list[tuple[int, int]], whole: bool, length: int = BYTES.length) -> tuple[int, int, int, bytes]:
     if whole:
         spans = [(0, len(text))] if len(text) >= length else []
@@ -148,6 +217,27 @@ def remove_bytes(text: bytes, spans: list[tuple[int, int]], whole: bool, length:
     return len(text), len(text) - len(rest), len(spans), rest
 
 
+def repeat_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", spec: Windows = BYTES) -> DataFrame:
+    """repeat, length, row (number), id and start (in bytes) of all occurrences of the repeats of at least spec.length bytes.
+
+    A repeat is as long as it can be within the reach of an anchor (spec.length + gap bytes around it), so a longer
+    one shows as several that overlap; together they cover what remove_repeated_bytes removes. Copies are listed one by one,
+    so this is for looking at a corpus, not for cleaning it; anchors that are hot are left to hot_spans and are not listed.
+    """
+    rows = with_row(docs.select(F.col(id_col).alias("__rc_id"), F.col(text_col).alias("__rc_text")))
+    found = segments(rows, materialise(occurrences(rows, spec)), spec, False)
+
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        offsets = np.r_[0, np.cumsum(pdf.payload.map(len))].astype(np.int64)
+        columns = [pdf[c].to_numpy() for c in ("anchor", ROW, "id", "place", "first", "windows")]
+        listed = groups(*columns, np.frombuffer(b"".join(pdf.payload), np.uint8), offsets, length=spec.length)
+        anchor = int(pdf.anchor.iloc[0])
+        return pd.DataFrame([(f"{anchor:x}.{n}", length, row, start) for n, length, row, start in listed], columns=["repeat", "length", "row", "start"])
+
+    listed = found.groupBy("anchor").applyInPandas(run, "repeat string, length int, row long, start int")
+    return listed.join(rows.select(F.col(ROW).alias("row"), F.col("__rc_id").alias(id_col)), "row")
+
+
 def remove_repeated_bytes(docs: DataFrame, outputs: dict[str, str], id_col: str = "doc_id", text_col: str = "text", spec: Windows = BYTES) -> DataFrame:
     """docs with outputs (name: one of n_items, n_removed, n_spans, kept_text, kept_sha256) added.
 

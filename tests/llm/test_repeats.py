@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from rollcall.llm.substring import WORDS, remove_repeated_words
-from rollcall.llm.suffix import BYTES, common, interval_repeats, remove_repeated_bytes
+from rollcall.llm.suffix import BYTES, common, interval_repeats, maximal_groups, remove_repeated_bytes, repeat_groups
 
 OUT = {"n": "n_items", "gone": "n_removed", "parts": "n_spans", "sha": "kept_sha256", "kept": "kept_text"}
 
@@ -120,3 +120,40 @@ def test_interval_tree_against_all_pairs():
         cover = lambda found: [{x for m, l, r in found if m == i for x in range(-l, r)} for i in range(n)]
         pairs = [(i, common(lefts[i], lefts[j]), common(suffixes[i], suffixes[j])) for i in range(n) for j in range(n) if i != j]
         assert cover([*interval_repeats(lcp, lefts, length)]) == cover([p for p in pairs if p[1] + p[2] >= length])
+
+
+def test_groups_are_maximal_and_complete():
+    rng = random.Random(4)
+    for _ in range(200):
+        n, length = rng.randrange(2, 12), 5
+        suffixes = sorted(bytes(rng.choice(b"ab") for _ in range(rng.randrange(7))) for _ in range(n))
+        lefts = [bytes(rng.choice(b"ab") for _ in range(rng.randrange(6))) for _ in range(n)]
+        got = sorted((l, r, sorted(m)) for l, r, m in maximal_groups([common(a, b) for a, b in zip(suffixes, suffixes[1:])], lefts, length))
+        want = set()
+        for i in range(n):
+            for j in range(i):
+                l, r = common(lefts[i], lefts[j]), common(suffixes[i], suffixes[j])
+                if l + r >= length:
+                    want.add((l, r, tuple(k for k in range(n) if common(lefts[i], lefts[k]) >= l and common(suffixes[i], suffixes[k]) >= r)))
+        assert got == sorted((l, r, list(m)) for l, r, m in want)
+
+
+def test_repeat_groups_cover_what_is_removed(spark):
+    rows = corpus(17, 40)
+    docs = table(spark, rows, "groups")
+    texts = {(r[0], r[1]): (r[1] or "").encode() for r in rows}
+    listed = repeat_groups(docs).collect()
+    content, hit = defaultdict(set), defaultdict(int)
+    by_id = defaultdict(list)
+    for (i, _), t in texts.items():
+        by_id[i].append(t)
+    for r in listed:
+        content[r.repeat].add(tuple(t[r.start : r.start + r.length] for t in by_id[r.doc_id] if len(t) >= r.start + r.length))
+        hit[r.repeat] += 1
+    assert listed and all(n > 1 for n in hit.values())
+    single = [r for r in rows if len(by_id[r[0]]) == 1]
+    spans = defaultdict(set)
+    for r in listed:
+        spans[r.doc_id] |= set(range(r.start, r.start + r.length))
+    want = {r[0]: w[1] for r, w in zip(rows, brute_bytes(rows, 200))}
+    assert all(len(spans[r[0]]) == want[r[0]] for r in single)
