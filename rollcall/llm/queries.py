@@ -40,7 +40,7 @@ def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = langid.train(docs.where(~in_fold("doc_id", 4, 2)))
     found = langid.predict(docs.select("doc_id", "text", in_fold("doc_id", 4, 2).alias("held_out")), model)
-    return found.select("doc_id", "held_out", "lang_pred", "score", "langs")
+    return found.select("doc_id", "held_out", "lang_pred", "score")
 
 
 def op6_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
