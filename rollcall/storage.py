@@ -33,6 +33,12 @@ def materialise(df: DataFrame, codec: str = "zstd") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def clean(spark: SparkSession) -> None:
+    """Removes this application's tables from the shared folder; frames made from them can't be read after that."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark)}/rollcall/{spark.sparkContext.applicationId}")
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     """df marked for broadcast if it was counted at rows or fewer; else unmarked, for a shuffled join. df should be materialised."""
     return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
