@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from rollcall.llm.common import BROADCAST_ROWS, ROW, drop_rows, materialise, small, with_row
 
 PREFIX_CHARS = 256
+#: A group of more rows than this, and than one in HEAVY_SHARE of all, is joined by broadcast: there are fewer than HEAVY_SHARE of them.
+HEAVY_ROWS, HEAVY_SHARE = 1_000, 1_000
 
 
 def normalised(text: Column) -> Column:
@@ -22,7 +24,7 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     rows of groups that are left is the full content hashed (SHA-256, which stands for the content). Each
     refinement joins keys and counts, never texts; the surviving keys are broadcast if they were counted at
     BROADCAST_ROWS or fewer, and beyond that every row is hashed in the scan. Counts combine before the
-    shuffle, so a group with a third of all rows is one row from each task.
+    shuffle, so a group with a third of all rows is one row from each task; the few heavy groups are joined back by broadcast.
 
     Null texts are empty texts. Of equal texts the smallest id stays; a null id loses to any other. Among
     rows with that id the first stays (kept), the others count as copies. An empty table gives no rows.
@@ -48,7 +50,12 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     ))
     first = F.min(F.struct(F.col("__rc_id").isNull().alias("none"), F.col("__rc_id").alias("id"), F.col(ROW).alias("row")))
     groups = keyed.groupBy(length, full).agg(first.alias("first"), F.count("*").alias("n")).where("n > 1")
-    joined = keyed.join(groups, [length, full], "left")
+    groups = materialise(groups)
+    limit = max(HEAVY_ROWS, keyed.count() // HEAVY_SHARE)
+    heavy = groups.where(F.col("n") > limit).select(length, full, F.col("first").alias("heavy_first"), F.col("n").alias("heavy_n"))
+    # rows of heavy groups get keys of their own for the second join, so no key brings many rows to one task
+    spread = keyed.join(F.broadcast(heavy), [length, full], "left").withColumn(full, F.when(F.col("heavy_n").isNull(), F.col(full)).otherwise(F.concat(F.lit("#"), F.col(ROW))))
+    joined = spread.join(groups.where(F.col("n") <= limit), [length, full], "left").withColumns({"first": F.coalesce("first", "heavy_first"), "n": F.coalesce("n", "heavy_n")})
     return joined.select(
         ROW, F.col("__rc_id").alias(id_col),
         F.when(F.col("n").isNull(), F.col("__rc_id")).otherwise(F.col("first.id")).alias("keep_id"),

@@ -26,8 +26,9 @@ def test_exact(spark, monkeypatch):
         groups.setdefault(norm(t), []).append(i)
     least = {k: min((i for i in v if i is not None), default=None) for k, v in groups.items()}
     want = sorted((str(i), str(least[norm(t)]), len(groups[norm(t)]), hashlib.sha256(norm(t).encode()).hexdigest()) for i, t, _ in rows)
-    for limit in (exact.BROADCAST_ROWS, 0):
+    for limit, heavy in ((exact.BROADCAST_ROWS, exact.HEAVY_ROWS), (0, 3)):
         monkeypatch.setattr(exact, "BROADCAST_ROWS", limit)
+        monkeypatch.setattr(exact, "HEAVY_ROWS", heavy)
         got = exact.exact_groups(docs, carry={"sha": F.sha2(exact.normalised(F.col("text")), 256)}).collect()
         assert sorted((str(r.doc_id), str(r.keep_id), r.group_size, r.sha) for r in got) == want
         assert sum(r.kept for r in got) == len(groups)
