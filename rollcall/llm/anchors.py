@@ -14,6 +14,7 @@ their own hash instead and are counted with partial sums.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
@@ -27,12 +28,22 @@ from rollcall.llm.hashing import mix, range_hashes, spans, window_hashes
 
 _PLACE = np.uint64((1 << 24) - 1)
 _PIECE = 1 << 23
+#: Bytes of text whose items are in memory at once (some hundred bytes for each).
+_PART = 1 << 17
 #: Documents of a block: this many neighbouring rows.
 BLOCK_BITS = 6
 NULL_ID = (1 << 63) - 1
 _SPACE = np.isin(np.arange(256), [9, 10, 11, 12, 13, 32])
 
 
+def release() -> None:
+    """Gives freed memory back to the system: a reused worker would keep its peak otherwise."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
 @dataclass(frozen=True)
 class Windows:
     """length and gram in items; hot: blocks that may share an anchor before its windows are dealt by their own hash; by_document: whether repeats within a document count for nothing."""
@@ -111,7 +122,7 @@ def occurrences(rows: DataFrame, spec: Windows) -> DataFrame:
     """block, anchor and hot of every anchor that more than one block names, or one block twice. rows: ROW, __rc_id, __rc_text."""
 
     def name(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in text_batches(batches, 1):
+        for batch in text_batches(batches, 1, _PART):
             number = batch.column(0).to_numpy(zero_copy_only=False)
             made = items(batch.column(1), spec.words)
             found = cut(made.values, made.offsets, spec)
@@ -124,6 +135,7 @@ def occurrences(rows: DataFrame, spec: Windows) -> DataFrame:
             end = np.r_[new[1:], len(anchor)]
             twice = (row[end - 1] != row[new]) if spec.by_document else end - new > 1
             yield pa.RecordBatch.from_arrays([pa.array(anchor[new]), pa.array(2 * block[new] + twice)], names=["anchor", "b"])
+        release()
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Rows sorted by anchor. Of an anchor at most hot rows are held back, to know whether it is hot."""
@@ -164,6 +176,7 @@ def occurrences(rows: DataFrame, spec: Windows) -> DataFrame:
                 held_a, held_b = held_a[:0], held_b[:0]
         if len(held_a):
             yield from whole(held_a, held_b)
+        release()
 
     named = rows.select(ROW, "__rc_text").mapInArrow(name, "anchor long, b long")
     return named.repartition("anchor").sortWithinPartitions("anchor").mapInArrow(keep, "block long, anchor long, hot boolean")
@@ -220,12 +233,13 @@ def segments(rows: DataFrame, flagged: DataFrame, spec: Windows, hot: bool) -> D
             # a flagged anchor is flagged in every block, so those of all blocks in sight may be looked up together
             known = np.unique(np.r_[carried, anchors]) if carried_block == block[0] else np.unique(anchors)
             if len(known) and is_text.any():
-                for part in text_batches([batch.filter(pa.array(is_text))], 4):
+                for part in text_batches([batch.filter(pa.array(is_text))], 4, _PART):
                     yield made(part, known)
             of_last = (block == block[-1])[~is_text] if len(anchors) else np.zeros(0, bool)
             held = anchors[of_last]
             carried = np.r_[carried, held] if carried_block == block[-1] else held
             carried_block = block[-1]
+        release()
 
     return stream.mapInArrow(run, SEGMENT)
 
@@ -233,7 +247,7 @@ def segments(rows: DataFrame, flagged: DataFrame, spec: Windows, hot: bool) -> D
 Solver = Callable[[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray, np.ndarray]]
 
 
-def solved(found: DataFrame, solver: Solver, most: int = 1 << 15) -> DataFrame:
+def solved(found: DataFrame, solver: Solver, most: int = 1 << 13) -> DataFrame:
     """Spans (ROW, start, end) that solver finds in whole groups of an anchor, about most segments at a time.
 
     solver(anchor, row, id, place, first, windows, data, offsets) gets rows sorted by anchor, id and row.
@@ -265,6 +279,8 @@ def solved(found: DataFrame, solver: Solver, most: int = 1 << 15) -> DataFrame:
         t = pa.Table.from_batches(held) if held else None
         if t is not None and t.num_rows:
             yield solve(t)
+        del held, t
+        release()
 
     ordered = found.repartition("anchor").sortWithinPartitions("anchor", "id", ROW)
     return ordered.mapInArrow(run, f"{ROW} long, start int, end int")
