@@ -52,8 +52,8 @@ def limited(events: DataFrame, limit: int = LIMIT, window: int = WINDOW_MS) -> D
     return ordered.mapInPandas(run, OUTPUT)
 
 
-def limited_stream(events: DataFrame, limit: int = LIMIT, window: int = WINDOW_MS) -> DataFrame:
-    """The same for a stream: one state (reset, count) for each key, dropped when its window has passed in processing time."""
+def limited_stream(events: DataFrame, limit: int = LIMIT, window: int = WINDOW_MS, keep_ms: int | None = None) -> DataFrame:
+    """The same for a stream: one state (reset, count) for each key, dropped after keep_ms (two windows if not given) without events."""
     def run(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         if state.hasTimedOut:
             state.remove()
@@ -61,7 +61,7 @@ def limited_stream(events: DataFrame, limit: int = LIMIT, window: int = WINDOW_M
         frame = pd.concat(list(frames))
         out, now = _run(key[0], frame, tuple(state.get) if state.exists else None, limit, window)
         state.update(now)
-        state.setTimeoutDuration(window * 2)
+        state.setTimeoutDuration(keep_ms or window * 2)
         yield out
 
     keyed = events.select(F.col("key").cast("string").alias("key"), F.col("ts").cast("timestamp_ntz").alias("ts"), F.col("event_id").cast("long").alias("event_id"))

@@ -23,7 +23,7 @@ def test_stream_and_batch_agree(spark, tmp_path):
     df = spark.createDataFrame(rows, "key string, ts timestamp_ntz, event_id long")
     df.coalesce(1).write.parquet(str(tmp_path / "in"))
     stream = spark.readStream.schema(df.schema).parquet(str(tmp_path / "in"))
-    query = limiter.limited_stream(stream).writeStream.format("memory").queryName("limited").outputMode("append").option("checkpointLocation", str(tmp_path / "c")).trigger(availableNow=True).start()
+    query = limiter.limited_stream(stream, keep_ms=2_000).writeStream.format("memory").queryName("limited").outputMode("append").option("checkpointLocation", str(tmp_path / "c")).trigger(availableNow=True).start()
     query.awaitTermination()
     key = lambda r: (r.key, r.event_id, r["count"], r.denied)
     assert sorted(map(key, spark.table("limited").collect())) == sorted(map(key, limiter.limited(df).collect()))
