@@ -7,24 +7,35 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rollcall.storage import BROADCAST_ROWS, materialise, small, table
 
-__all__ = ["BROADCAST_ROWS", "ROW", "drop_rows", "flat_bytes", "materialise", "ranges", "small", "table", "text_batches", "with_row"]
+__all__ = ["BROADCAST_ROWS", "ROW", "drop_rows", "flat_bytes", "materialise", "numbered", "ranges", "small", "table", "text_batches", "with_row"]
 
 ROW = "__rc_row"
 
 
-def with_row(df: DataFrame) -> DataFrame:
-    """df with a number for each row. It is the same in every pass over a table of files; derived frames should be materialised first."""
-    return df.withColumn(ROW, F.monotonically_increasing_id())
+def with_row(df: DataFrame, *columns: Column) -> DataFrame:
+    """The columns of df (all, if none are given) with a number for each row: the stored one of a numbered copy, else one that holds for a single pass.
+
+    A number that is made in the pass depends on how the files are split, which may change with the executors at hand:
+    what is joined to a later pass by it must come from a numbered copy.
+    """
+    stored = [ROW] if ROW in df.columns else []
+    df = df.select(*columns, *stored) if columns else df
+    return df if stored else df.withColumn(ROW, F.monotonically_increasing_id())
+
+
+def numbered(df: DataFrame) -> DataFrame:
+    """df, with a number for each row, written once: every pass over it reads the same numbers. A numbered copy is returned as it is."""
+    return df if ROW in df.columns else materialise(with_row(df))
 
 
 def drop_rows(docs: DataFrame, dropped: DataFrame) -> DataFrame:
-    """docs without the rows whose number is in dropped (one column, ROW); columns of docs as they were."""
-    return with_row(docs).join(small(materialise(dropped.select(ROW))), ROW, "left_anti").drop(ROW)
+    """docs, a numbered copy, without the rows whose number is in dropped (one column, ROW), and without the number."""
+    return docs.join(small(materialise(dropped.select(ROW))), ROW, "left_anti").drop(ROW)
 
 
 def text_batches(batches: Iterable[pa.RecordBatch], text: int, limit: int = 1 << 19) -> Iterator[pa.RecordBatch]:

@@ -7,7 +7,7 @@ from string import ascii_lowercase, ascii_uppercase
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rollcall.llm.common import ROW, drop_rows, materialise, with_row
+from rollcall.llm.common import ROW, drop_rows, materialise, numbered, with_row
 
 WINDOW = 13
 #: Benchmark windows that may be broadcast: some 150 bytes each, so 75 MB at most.
@@ -59,7 +59,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     if distinct.limit(BROADCAST_WINDOWS + 1).count() <= BROADCAST_WINDOWS:
         distinct = F.broadcast(distinct)
 
-    rows = with_row(docs.select(F.col(id_col).alias("__rc_id"), words(F.col(text_col)).alias("w")))
+    rows = with_row(docs, F.col(id_col).alias("__rc_id"), words(F.col(text_col)).alias("w"))
     rows = rows.select(ROW, "__rc_id", "w", F.size("w").alias("n"), F.transform("w", lambda w: F.xxhash64(w)).alias("h"))
     shortest = lengths[0] if lengths else window
     # -1 stands for the document itself, so that its words are counted in the same pass
@@ -96,4 +96,5 @@ def merged(spans: str) -> Column:
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """docs without the contaminated rows; columns as they were."""
+    docs = numbered(docs)
     return drop_rows(docs, contamination(docs, benchmark, id_col, text_col).where("contaminated"))

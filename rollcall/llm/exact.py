@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rollcall.llm.common import BROADCAST_ROWS, ROW, drop_rows, materialise, small, with_row
+from rollcall.llm.common import BROADCAST_ROWS, ROW, drop_rows, materialise, numbered, small, with_row
 
 PREFIX_CHARS = 256
 #: A group of more rows than this, and than one in HEAVY_SHARE of all, is joined by broadcast: there are fewer than HEAVY_SHARE of them.
@@ -31,7 +31,7 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     docs must be a table of files or another frame that repeats its rows in the same order.
     """
     norm, length, prefix, full = "__rc_norm", "__rc_len", "__rc_prefix", "__rc_full"
-    rows = with_row(docs.select(F.col(id_col).alias("__rc_id"), F.col(text_col).alias("__rc_text"), *[c.alias(f"__rc_c_{n}") for n, c in (carry or {}).items()]))
+    rows = with_row(docs, F.col(id_col).alias("__rc_id"), F.col(text_col).alias("__rc_text"), *[c.alias(f"__rc_c_{n}") for n, c in (carry or {}).items()])
     rows = rows.withColumn(norm, normalised(F.col("__rc_text"))).withColumn(length, F.octet_length(norm))
     head = F.xxhash64(F.substring(norm, 1, PREFIX_CHARS))
 
@@ -67,4 +67,5 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
 def drop_exact_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """docs with one row of each group of equal texts; columns as they were."""
+    docs = numbered(docs)
     return drop_rows(docs, exact_groups(docs, id_col, text_col).where(~F.col("kept")))

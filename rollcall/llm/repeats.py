@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rollcall.llm.anchors import Solver, Windows, spans_of
-from rollcall.llm.common import ROW, materialise, small, text_batches, with_row
+from rollcall.llm.common import ROW, materialise, small, text_batches
 
 #: Marked rows, and spans in them, that may be broadcast: some 40 MB.
 BROADCAST_MARKS = 500_000
@@ -22,12 +22,12 @@ OUTPUTS = {"n_items": T.LongType(), "n_removed": T.LongType(), "n_spans": T.Long
 
 
 def marks(docs: DataFrame, id_col: str, text_col: str, spec: Windows, solver: Solver, content: Callable[[Column], Column]) -> DataFrame:
-    """ROW, whole and spans of the rows of docs that lose something; whole means every item, if there is a window.
+    """ROW, whole and spans of the rows of docs, a numbered copy, that lose something; whole means every item, if there is a window.
 
     Rows of equal content (by a 128-bit hash) are settled first: by one row for each content. With by_document the
     others lose everything to the smallest id among them, else all rows of the content do.
     """
-    rows = with_row(docs.select(F.col(id_col).alias("__rc_id"), F.col(text_col).alias("__rc_text")))
+    rows = docs.select(F.col(id_col).alias("__rc_id"), F.col(text_col).alias("__rc_text"), ROW)
     keys = materialise(rows.select(ROW, F.coalesce(F.col("__rc_id").cast("long"), F.lit((1 << 63) - 1)).alias("id"), F.md5(content(F.col("__rc_text"))).alias("k")))
     groups = keys.groupBy("k").agg(F.min(F.struct("id", ROW)).alias("first"), F.count("*").alias("n")).where("n > 1")
     copies = materialise(keys.join(groups, "k").select(ROW, (F.col("id") > F.col("first.id")).alias("later"), (F.col(ROW) != F.col(f"first.{ROW}")).alias("other")))
@@ -39,7 +39,7 @@ def marks(docs: DataFrame, id_col: str, text_col: str, spec: Windows, solver: So
 
 
 def without_marks(docs: DataFrame, marked: DataFrame, remove: Callable, outputs: dict[str, str], text_col: str) -> DataFrame:
-    """docs with outputs (name: one of OUTPUTS) added; columns of those names are replaced.
+    """docs, a numbered copy, with outputs (name: one of OUTPUTS) added and without the number; columns of those names are replaced.
 
     remove(text, spans, whole) gives the number of items, of removed items, of spans, and the bytes kept. The marks are
     broadcast if they were counted at BROADCAST_MARKS rows and BROADCAST_SPANS spans or fewer, else joined by shuffle.
@@ -47,8 +47,8 @@ def without_marks(docs: DataFrame, marked: DataFrame, remove: Callable, outputs:
     size = marked.agg(F.count("*").alias("rows"), F.coalesce(F.sum(F.size("spans")), F.lit(0)).alias("spans")).first()
     marked = marked.select(ROW, F.col("whole").alias("__rc_whole"), F.col("spans.start").alias("__rc_start"), F.col("spans.end").alias("__rc_end"))
     marked = F.broadcast(marked) if size.rows <= BROADCAST_MARKS and size.spans <= BROADCAST_SPANS else marked
-    kept = [f for f in docs.schema.fields if f.name not in outputs]
-    rows = with_row(docs.select(*[F.col(f"`{f.name}`") for f in kept], F.col(f"`{text_col}`").alias("__rc_text")))
+    kept = [f for f in docs.schema.fields if f.name not in (ROW, *outputs)]
+    rows = docs.select(*[F.col(f"`{f.name}`") for f in kept], F.col(f"`{text_col}`").alias("__rc_text"), ROW)
     rows = rows.join(marked, ROW, "left").select(*[F.col(f"`{f.name}`") for f in kept], "__rc_text", "__rc_whole", "__rc_start", "__rc_end")
     n = len(kept)
 

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from rollcall.llm.common import ROW, drop_rows, materialise, text_batches, with_row
+from rollcall.llm.common import ROW, drop_rows, materialise, numbered, text_batches, with_row
 from rollcall.operators.components import components
 
 SHINGLE, SEED, RADIUS = 3, 42, 2
@@ -38,7 +38,7 @@ def fingerprint(text: str | None, shingle: int = SHINGLE, seed: int = SEED) -> i
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, seed: int = SEED) -> DataFrame:
     """Row number, id and fingerprint (as a signed 64-bit integer) of every row."""
-    rows = with_row(docs.select(F.col(id_col).alias(id_col), F.col(text_col).alias("__rc_text"))).select(ROW, id_col, "__rc_text")
+    rows = with_row(docs, F.col(id_col).alias(id_col), F.col(text_col).alias("__rc_text")).select(ROW, id_col, "__rc_text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in text_batches(batches, 2):
@@ -199,4 +199,5 @@ def simhash_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
 def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """docs with one row of each component; columns as they were."""
+    docs = numbered(docs)
     return drop_rows(docs, simhash_groups(docs, id_col, text_col).where(~F.col("kept")))

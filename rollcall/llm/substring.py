@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rollcall.llm.anchors import Windows
-from rollcall.llm.common import ranges
+from rollcall.llm.common import numbered, ranges
 from rollcall.llm.hashing import mix, window_hashes
 from rollcall.llm.repeats import marks, without_marks
 
@@ -73,7 +73,8 @@ def remove_repeated_words(docs: DataFrame, outputs: dict[str, str], id_col: str
     Words are separated by ASCII white space. Every word in a window of spec.length words that also starts in a
     document of a smaller id is removed, all judged on the input. Ids are integers; a null id is larger than any
     other. Null and empty texts have no words; rows that repeat an id do not count as earlier for each other;
-    an empty table gives no rows. docs must repeat its rows in the same order in every pass, as a table does.
+    an empty table gives no rows. docs is read once, into a numbered copy that every later pass reads.
     """
+    docs = numbered(docs)
     marked = marks(docs, id_col, text_col, spec, lambda *a: factors(*a, length=spec.length), _words_only)
     return without_marks(docs, marked, lambda t, s, w: remove_words(t, s, w, spec.length), outputs, text_col)

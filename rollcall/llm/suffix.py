@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rollcall.llm.anchors import Windows, occurrences, segments
-from rollcall.llm.common import ROW, materialise, ranges, with_row
+from rollcall.llm.common import ROW, materialise, numbered, ranges
 from rollcall.llm.hashing import mix, range_hashes
 from rollcall.llm.repeats import marks, without_marks
 
@@ -224,7 +224,7 @@ def repeat_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     one shows as several that overlap; together they cover what remove_repeated_bytes removes. Copies are listed one by one,
     so this is for looking at a corpus, not for cleaning it; anchors that are hot are left to hot_spans and are not listed.
     """
-    rows = with_row(docs.select(F.col(id_col).alias("__rc_id"), F.col(text_col).alias("__rc_text")))
+    rows = numbered(docs.select(F.col(id_col).alias("__rc_id"), F.col(text_col).alias("__rc_text")))
     found = segments(rows, materialise(occurrences(rows, spec)), spec, False)
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -243,8 +243,9 @@ def remove_repeated_bytes(docs: DataFrame, outputs: dict[str, str], id_col: str
 
     Texts are UTF-8 bytes. Every byte in a string of spec.length bytes that also starts anywhere else, in the same
     text or another, is removed, all judged on the input. Null and empty texts have no bytes; rows that repeat
-    an id are documents like any other; an empty table gives no rows. docs must repeat its rows in the same
-    order in every pass, as a table does.
+    an id are documents like any other; an empty table gives no rows. docs is read once, into a
+    numbered copy that every later pass reads.
     """
+    docs = numbered(docs)
     marked = marks(docs, id_col, text_col, spec, lambda *a: repeats(*a, length=spec.length), lambda t: F.coalesce(t, F.lit("")))
     return without_marks(docs, marked, lambda t, s, w: remove_bytes(t, s, w, spec.length), outputs, text_col)
