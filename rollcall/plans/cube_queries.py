@@ -312,7 +312,7 @@ def q_json_payload(spark, sf_dir):
 
 @query(f"WITH {_GRID}, r AS (SELECT *, row_number() OVER (PARTITION BY place ORDER BY n DESC, sector) AS r FROM grid) SELECT place, sector AS dominant, CAST(floor(100.0 * n / place_total + 0.5) AS BIGINT) AS share, place_total AS total FROM r WHERE r = 1 ORDER BY place_total DESC, place LIMIT 10")
 def q_table_rows(spark, sf_dir):
-    return cube.table_rows(cube.dense(rows_of(spark, sf_dir)), "total").limit(10).select("place", "dominant", "share", "total")
+    return cube.table_rows(cube.dense(rows_of(spark, sf_dir)), "total").select("place", "dominant", "share", "total")
 
 
 @query(f"WITH {_ROWS} SELECT place FROM (SELECT DISTINCT place FROM cr) WHERE place <> 'NATION_3' ORDER BY md5('7:' || place), place LIMIT 1")
