@@ -128,30 +128,35 @@ class WordBpe:
                 start = i
         return out
 
-    def _plain(self, text: str) -> list[tuple[bytes, str]]:
+    def _plain(self, text: str) -> list[bytes]:
         known = self.pieces
         newest = known.get
         found = []
         for piece in self.cut(text):
             entry = newest(piece)
             if entry is None and (entry := known.find(piece)) is None:
-                tokens = self.tokens(piece)
-                entry = (np.array([self.vocab[t] for t in tokens], "<u4").tobytes(), " ".join(tokens))
+                entry = np.array([self.vocab[t] for t in self.tokens(piece)], "<u4").tobytes()
                 known.keep(piece, entry)
             found.append(entry)
         return found
 
-    def encode(self, text: str) -> tuple[bytes, str]:
-        """The ids as little-endian unsigned 32-bit integers, and their tokens joined by spaces (the decoded text of a file without decoder)."""
+    def ids(self, text: str) -> bytes:
+        """The ids as little-endian unsigned 32-bit integers."""
         if self.splitter and any(s in text for s in self.special):
             entries = []
             for part in self.splitter.split(text):
-                entries += [(np.array([self.special[part]], "<u4").tobytes(), part)] if part in self.special else self._plain(part)
+                entries += [np.array([self.special[part]], "<u4").tobytes()] if part in self.special else self._plain(part)
         else:
             entries = self._plain(text)
-        return b"".join([e[0] for e in entries]), " ".join([e[1] for e in entries])
+        return b"".join(entries)
+
+    def encode(self, text: str) -> tuple[bytes, str]:
+        """The ids, and the text decoded from them."""
+        ids = self.ids(text)
+        return ids, self.decode(ids)
 
     def decode(self, ids: bytes) -> str:
+        """The tokens of the ids joined by spaces, as for a file without decoder."""
         return " ".join(map(self.names.__getitem__, np.frombuffer(ids, "<u4").tolist()))
 
 
@@ -184,10 +189,12 @@ def encode_documents(docs: DataFrame, tokenizer: str, text_col: str = "text", ou
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = _model(spec.value)
+        decodes = "decoded" in wanted or "decoded_sha256" in wanted
         for batch in text_batches(batches, len(kept)):
             made: dict[str, list] = {n: [] for n in wanted}
             for text in batch.column(len(kept)).to_pylist():
-                ids, decoded = model.encode(text or "")
+                ids = model.ids(text or "")
+                decoded = model.decode(ids) if decodes else ""
                 for n in wanted:
                     made[n].append(
                         len(ids) // 4 if n == "n_tokens" else ids if n == "ids" else hashlib.sha256(ids).hexdigest() if n == "ids_sha256"
