@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rollcall.llm.anchors import Windows, occurrences, segments
-from rollcall.llm.common import ROW, materialise, numbered, ranges
+from rollcall.llm.common import ROW, materialise, numbered, ranges, small
 from rollcall.llm.hashing import mix, range_hashes
 from rollcall.llm.repeats import marks, without_marks
 
@@ -191,15 +191,19 @@ def repeats(anchor, row, id, place, first, windows, data, offsets, length: int =
     return tuple(map(np.concatenate, (rows, starts, ends)))
 
 
-def groups(anchor, row, id, place, first, windows, data, offsets, length: int = BYTES.length) -> list[tuple[int, int, int, int]]:
-    """(number, length, row, start) for every occurrence of every maximal repeat within the reach of its anchor."""
+def groups(anchor, content, many, place, first, windows, data, offsets, length: int = BYTES.length) -> list[tuple[int, int, str, int]]:
+    """(number, length, content, items before the anchor) for every content in every maximal repeat within the reach of its anchor.
+
+    The segments are one for each content; many says which contents occur more than once. Those stand for two equal
+    suffixes, which form the same intervals as any number of them.
+    """
     left, right, before, after = _sides(place, first, windows, data, offsets, length)
-    of, lcp, cut = _sorted_suffixes(np.arange(len(anchor)), anchor, after, right)
+    of, lcp, cut = _sorted_suffixes(np.repeat(np.arange(len(anchor)), 1 + many), anchor, after, right)
     out, number = [], 0
     for s, e in zip(cut, cut[1:]):
         if e - s > 1:
             for l, r, members in maximal_groups(lcp[s : e - 1].tolist(), [before[i, : left[i]].tobytes() for i in of[s:e]], length):
-                out += [(number, l + r, int(row[of[s + m]]), int(place[of[s + m]] - l)) for m in members]
+                out += [(number, l + r, content[x], int(l)) for x in {of[s + m] for m in members}]
                 number += 1
     return out
 
@@ -222,19 +226,27 @@ def repeat_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
     A repeat is as long as it can be within the reach of an anchor (spec.length + gap bytes around it), so a longer
     one shows as several that overlap; together they cover what remove_repeated_bytes removes. Copies are listed one by one,
-    so this is for looking at a corpus, not for cleaning it; anchors that are hot are left to hot_spans and are not listed.
+    so this is for looking at a corpus, not for cleaning it. Hot anchors are listed like any other: only one segment of each
+    content meets the others of its anchor, and its occurrences, which carry no text, are joined to the groups after that.
     """
     rows = numbered(docs.select(F.col(id_col).alias("__rc_id"), F.col(text_col).alias("__rc_text")))
-    found = segments(rows, materialise(occurrences(rows, spec)), spec, False)
+    flagged = materialise(occurrences(rows, spec)).withColumn("hot", F.lit(False))
+    # a content is told by 128 bits of hash and its anchor
+    key = F.md5(F.concat(F.encode(F.concat_ws(",", F.col("place") - F.col("first"), "windows", F.lit("")), "UTF-8"), "payload"))
+    found = segments(rows, flagged, spec, False).withColumn("content", key)
+    contents = found.groupBy("anchor", "content").agg(F.min(F.struct((F.col("place") - F.col("first")).alias("place"), "windows", "payload")).alias("s"), (F.count("*") > 1).alias("many"))
+    contents = contents.select("anchor", "content", "many", F.col("s.place").alias("place"), F.col("s.windows").alias("windows"), F.col("s.payload").alias("payload"))
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         offsets = np.r_[0, np.cumsum(pdf.payload.map(len))].astype(np.int64)
-        columns = [pdf[c].to_numpy() for c in ("anchor", ROW, "id", "place", "first", "windows")]
-        listed = groups(*columns, np.frombuffer(b"".join(pdf.payload), np.uint8), offsets, length=spec.length)
-        anchor = int(pdf.anchor.iloc[0])
-        return pd.DataFrame([(f"{anchor:x}.{n}", length, row, start) for n, length, row, start in listed], columns=["repeat", "length", "row", "start"])
-
-    listed = found.groupBy("anchor").applyInPandas(run, "repeat string, length int, row long, start int")
+        anchor, content, many, place, windows = (pdf[c].to_numpy() for c in ("anchor", "content", "many", "place", "windows"))
+        listed = groups(anchor, content, many, place, np.zeros_like(place), windows, np.frombuffer(b"".join(pdf.payload), np.uint8), offsets, length=spec.length)
+        name = int(anchor[0])
+        return pd.DataFrame([(f"{name:x}.{n}", length, name, c, l) for n, length, c, l in listed], columns=["repeat", "length", "anchor", "content", "before"])
+
+    listed = materialise(contents.groupBy("anchor").applyInPandas(run, "repeat string, length int, anchor long, content string, before int"))
+    listed = found.select("anchor", "content", ROW, "place").join(small(listed), ["anchor", "content"])
+    listed = listed.select("repeat", "length", F.col(ROW).alias("row"), (F.col("place") - F.col("before")).alias("start"))
     return listed.join(rows.select(F.col(ROW).alias("row"), F.col("__rc_id").alias(id_col)), "row")
 
 
