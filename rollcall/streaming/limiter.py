@@ -4,7 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
@@ -13,59 +16,74 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 LIMIT, WINDOW_MS = 8, 60_000
 
 OUTPUT = "key string, ts timestamp_ntz, event_id long, count int, denied boolean"
+State = tuple[int, int]
 
 
-def step(state: tuple[int, int] | None, now: int, window: int = WINDOW_MS) -> tuple[int, int]:
-    """(reset, count) after an event at now: a window opens at its first event, and lasts to reset inclusive."""
-    if state is None or now > state[0]:
-        return now + window, 1
-    return state[0], state[1] + 1
+def counted(times: np.ndarray, state: State | None, window: int = WINDOW_MS) -> tuple[np.ndarray, State | None]:
+    """The count of each event in its window, and (reset, count) after the last: a window opens at its first event and lasts to reset inclusive. times ascend, in milliseconds."""
+    counts, at = np.empty(len(times), np.int32), 0
+    while at < len(times):
+        if state is None or times[at] > state[0]:
+            state = int(times[at]) + window, 0
+        stop = int(np.searchsorted(times, state[0], side="right"))
+        counts[at:stop] = state[1] + np.arange(1, stop - at + 1)
+        state = state[0], state[1] + stop - at
+        at = stop
+    return counts, state
 
 
-def _run(key: str, frame: pd.DataFrame, state: tuple[int, int] | None, limit: int, window: int) -> tuple[pd.DataFrame, tuple[int, int] | None]:
-    frame = frame.sort_values(["ts", "event_id"], kind="stable")
-    counts = []
-    for now in frame.ts.astype("datetime64[us]").astype("int64") // 1000:
-        state = step(state, int(now), window)
-        counts.append(state[1])
-    return pd.DataFrame({"key": key, "ts": frame.ts.to_numpy(), "event_id": frame.event_id.to_numpy(), "count": counts, "denied": [c > limit for c in counts]}), state
+def _events(events: DataFrame) -> DataFrame:
+    return events.select(F.col("key").cast("string").alias("key"), F.col("ts").cast("timestamp_ntz").alias("ts"), F.col("event_id").cast("long").alias("event_id"))
 
 
 def limited(events: DataFrame, limit: int = LIMIT, window: int = WINDOW_MS) -> DataFrame:
     """events (key, ts, event_id) with their count in the window and whether they are denied; denied events count too.
 
     The windows of a key follow from each other, so its events are read in order, as a stream of Arrow batches
-    from a sort within partitions: a key of any size passes in bounded memory.
+    from a sort within partitions: a key of any size passes in bounded memory, window by window. A null key is a key
+    like any other; an event without time belongs to no window, so its count and denied are null. No events give no rows.
     """
-    ordered = events.select(F.col("key").cast("string").alias("key"), F.col("ts").cast("timestamp_ntz").alias("ts"), F.col("event_id").cast("long").alias("event_id"))
-    ordered = ordered.repartition("key").sortWithinPartitions("key", "ts", "event_id")
+    ordered = _events(events).repartition("key").sortWithinPartitions("key", "ts", "event_id")
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last: str | None = None
-        state: tuple[int, int] | None = None
-        for frame in frames:
-            for key, part in frame.groupby("key", sort=False, dropna=False):
-                out, state = _run(key, part, state if key == last else None, limit, window)
+        state: State | None = None
+        for batch in batches:
+            runs = pc.run_end_encode(batch.column(0))
+            ends = np.asarray(runs.run_ends)
+            timed = batch.column(1).is_valid().to_numpy(zero_copy_only=False)
+            times = pc.fill_null(batch.column(1).cast(pa.int64()), 0).to_numpy(zero_copy_only=False) // 1000
+            counts = np.zeros(len(times), np.int32)
+            for key, start, end in zip(runs.values.to_pylist(), np.r_[0, ends], ends):
+                start += int((~timed[start:end]).sum())
+                counts[start:end], state = counted(times[start:end], state if key == last else None, window)
                 last = key
-                yield out
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(counts, mask=~timed), pa.array(counts > limit, mask=~timed)], names=["key", "ts", "event_id", "count", "denied"])
 
-    return ordered.mapInPandas(run, OUTPUT)
+    return ordered.mapInArrow(run, OUTPUT)
 
 
-def limited_stream(events: DataFrame, limit: int = LIMIT, window: int = WINDOW_MS, keep_ms: int | None = None) -> DataFrame:
-    """The same for a stream: one state (reset, count) for each key, dropped after keep_ms (two windows if not given) without events."""
+def limited_stream(events: DataFrame, limit: int = LIMIT, window: int = WINDOW_MS, late: str = "10 minutes") -> DataFrame:
+    """The same for a stream, with one state (reset, count) for each key.
+
+    A key's state is dropped when the watermark, late behind the newest event, has passed its reset: any event that may
+    still come opens a new window anyway. Events that are later than that are dropped by the watermark, as are events
+    without time.
+    """
     def run(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         if state.hasTimedOut:
             state.remove()
             return
-        frame = pd.concat(list(frames))
-        out, now = _run(key[0], frame, tuple(state.get) if state.exists else None, limit, window)
+        frame = pd.concat(list(frames)).sort_values(["ts", "event_id"], kind="stable")
+        times = frame.ts.to_numpy("datetime64[us]").astype(np.int64) // 1000
+        counts, now = counted(times, tuple(state.get) if state.exists else None, window)
         state.update(now)
-        state.setTimeoutDuration(keep_ms or window * 2)
-        yield out
+        state.setTimeoutTimestamp(max(now[0], state.getCurrentWatermarkMs()) + 1)
+        name = None if pd.isna(key[0]) else key[0]
+        yield pd.DataFrame({"key": pd.Series([name] * len(counts), dtype=object), "ts": frame.ts.to_numpy(), "event_id": frame.event_id.to_numpy(), "count": counts, "denied": counts > limit})
 
-    keyed = events.select(F.col("key").cast("string").alias("key"), F.col("ts").cast("timestamp_ntz").alias("ts"), F.col("event_id").cast("long").alias("event_id"))
-    return keyed.groupBy("key").applyInPandasWithState(run, OUTPUT, "reset long, count int", "append", GroupStateTimeout.ProcessingTimeTimeout)
+    timed = _events(events).where("ts IS NOT NULL").withColumn("at", F.to_timestamp("ts")).withWatermark("at", late)
+    return timed.groupBy("key").applyInPandasWithState(run, OUTPUT, "reset long, count int", "append", GroupStateTimeout.EventTimeTimeout)
 
 
 def resume(stream: DataFrame, keys: list[str], path: str, process: Callable[[DataFrame], DataFrame], checkpoint: str):
