@@ -5,11 +5,15 @@ in it with the smallest hash (the leftmost one of several), so equal windows hav
 places. Consecutive windows with one anchor occurrence make a segment. The stages:
 
 1. `occurrences`: each block of documents names its anchors once; a shuffle by anchor finds those named twice.
-2. `segments`: those go back to their blocks, and only their segments are cut out of the texts.
-3. a solver gets all segments of an anchor together and returns duplicate spans.
-
-Anchors in more than `hot` blocks would bring a group of any size together, so their windows are dealt by
-their own hash instead and are counted with partial sums.
+2. `segments`: those go back to their blocks, and only their segments are cut out of the texts. Equal segments of a
+   batch carry their items once.
+3. `contents`: equal segments become one content, with partial aggregates, so no copies meet in a task, however many there are.
+4. a solver gets the different contents of an anchor together and returns for each what it repeats, as one run around
+   the anchor (all repeats of a content hold its anchor, so together they are one run).
+5. the occurrences of a content, which carry no items, are joined to what was found for it.
+
+An anchor of more than `hot` different contents is too common to be an anchor: its windows are their own
+anchors (a gram of `length` items), so they are counted with partial aggregates and joined back.
 """
 
 from __future__ import annotations
@@ -23,11 +27,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rollcall.llm.common import ROW, flat_bytes, materialise, ranges, text_batches
+from rollcall.llm.common import ROW, flat_bytes, materialise, ranges, small, text_batches
 from rollcall.llm.hashing import mix, range_hashes, spans, window_hashes
 
 _PLACE = np.uint64((1 << 24) - 1)
-_PIECE = 1 << 23
+#: Items, and segments, that are worked on at once.
+_PIECE, _SLICE = 1 << 18, 1 << 12
 #: Bytes of text whose items are in memory at once (some hundred bytes for each).
 _PART = 1 << 17
 #: Documents of a block: this many neighbouring rows.
@@ -46,13 +51,13 @@ def release() -> None:
 
 @dataclass(frozen=True)
 class Windows:
-    """length and gram in items; hot: blocks that may share an anchor before its windows are dealt by their own hash; by_document: whether repeats within a document count for nothing."""
+    """length and gram in items; hot: different contents that an anchor may have before its windows are their own anchors; by_document: whether repeats within a document count for nothing."""
 
     length: int
     gram: int
     words: bool
     by_document: bool
-    hot: int = 8192
+    hot: int = 4096
 
 
 @dataclass
@@ -119,7 +124,7 @@ def cut(values: np.ndarray, offsets: np.ndarray, spec: Windows) -> Segments:
 
 
 def occurrences(rows: DataFrame, spec: Windows) -> DataFrame:
-    """block, anchor and hot of every anchor that more than one block names, or one block twice. rows: ROW, __rc_id, __rc_text."""
+    """block and anchor of every anchor that more than one block names, or one block twice. rows: ROW, __rc_id, __rc_text."""
 
     def name(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in text_batches(batches, 1, _PART):
@@ -138,89 +143,62 @@ def occurrences(rows: DataFrame, spec: Windows) -> DataFrame:
         release()
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Rows sorted by anchor. Of an anchor at most hot rows are held back, to know whether it is hot."""
-        held_a, held_b, hot_anchor = np.zeros(0, np.int64), np.zeros(0, np.int64), None
-
-        def told(anchor: np.ndarray, b: np.ndarray, hot: bool) -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array(b >> 1), pa.array(anchor), pa.array(np.full(len(b), hot))], names=["block", "anchor", "hot"])
-
-        def whole(anchor: np.ndarray, b: np.ndarray) -> Iterator[pa.RecordBatch]:
-            new = np.flatnonzero(np.r_[True, anchor[1:] != anchor[:-1]])
-            size = np.diff(np.r_[new, len(anchor)])
-            flagged = (size > 1) | (np.add.reduceat(b & 1, new) > 0)
-            for hot in (False, True):
-                chosen = np.repeat(flagged & ((size > spec.hot) == hot), size)
-                if chosen.any():
-                    yield told(anchor[chosen], b[chosen], hot)
-
+        """Rows sorted by anchor. Of the last anchor, one row at most is held back: until a second one comes."""
+        held_a, held_b, shown = np.zeros(0, np.int64), np.zeros(0, np.int64), None
         for batch in batches:
             anchor, b = (batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 1))
-            if hot_anchor is not None:
-                more = anchor == hot_anchor
-                if more.any():
-                    yield told(anchor[more], b[more], True)
-                anchor, b = anchor[~more], b[~more]
-                if not len(anchor):
-                    continue
-                hot_anchor = None
             anchor, b = np.r_[held_a, anchor], np.r_[held_b, b]
             if not len(anchor):
                 continue
-            at = int(np.searchsorted(anchor, anchor[-1]))  # the last anchor may go on
-            if at:
-                yield from whole(anchor[:at], b[:at])
-            held_a, held_b = anchor[at:], b[at:]
-            if len(held_a) > spec.hot:
-                hot_anchor = held_a[0]
-                yield told(held_a, held_b, True)
-                held_a, held_b = held_a[:0], held_b[:0]
-        if len(held_a):
-            yield from whole(held_a, held_b)
+            new = np.flatnonzero(np.r_[True, anchor[1:] != anchor[:-1]])
+            size = np.diff(np.r_[new, len(anchor)])
+            flagged = (size > 1) | (np.add.reduceat(b & 1, new) > 0) | (anchor[new] == (shown if shown is not None else -1))
+            wait = not flagged[-1]
+            held_a, held_b = (anchor[-1:], b[-1:]) if wait else (anchor[:0], b[:0])
+            shown = None if wait else anchor[-1]
+            chosen = np.repeat(flagged, size)
+            yield pa.RecordBatch.from_arrays([pa.array(b[chosen] >> 1), pa.array(anchor[chosen])], names=["block", "anchor"])
         release()
 
     named = rows.select(ROW, "__rc_text").mapInArrow(name, "anchor long, b long")
-    return named.repartition("anchor").sortWithinPartitions("anchor").mapInArrow(keep, "block long, anchor long, hot boolean")
-
+    return named.repartition("anchor").sortWithinPartitions("anchor").mapInArrow(keep, "block long, anchor long")
 
-#: What a segment carries: its row and id, the place of the anchor, the first window's start and the number of windows (in items), and its items.
-SEGMENT = "anchor long, __rc_row long, id long, place int, first int, windows int, payload binary"
-_NAMES = ["anchor", ROW, "id", "place", "first", "windows", "payload"]
 
+#: A segment: its anchor, a hash of its items and the anchor's place in it, its row and id, the place of its first item, how many
+#: items stand before its anchor, its number of windows, and its items, which only the first of equal segments of a batch carries.
+SEGMENT = "anchor long, content long, __rc_row long, id long, first int, before int, windows int, payload binary"
+_NAMES = ["anchor", "content", ROW, "id", "first", "before", "windows", "payload"]
 
-def segments(rows: DataFrame, flagged: DataFrame, spec: Windows, hot: bool) -> DataFrame:
-    """The segments of flagged anchors that are not hot; or, if hot, each window of those that are, with a hash of its content for an anchor.
 
-    Texts and their block's flagged anchors come together in one sorted stream, anchors first.
-    """
+def segments(rows: DataFrame, flagged: DataFrame, spec: Windows) -> DataFrame:
+    """The segments of flagged anchors. Texts and their block's flagged anchors come together in one sorted stream, anchors first."""
     texts = rows.select(F.shiftright(ROW, BLOCK_BITS).alias("block"), F.lit(1).alias("kind"), ROW, F.coalesce(F.col("__rc_id").cast("long"), F.lit(NULL_ID)).alias("id"), "__rc_text", F.lit(None).cast("long").alias("anchor"))
-    wanted = flagged.where(F.col("hot") == hot).select("block", F.lit(0).alias("kind"), F.lit(None).cast("long").alias(ROW), F.lit(None).cast("long").alias("id"), F.lit(None).cast("string").alias("__rc_text"), "anchor")
+    wanted = flagged.select("block", F.lit(0).alias("kind"), F.lit(None).cast("long").alias(ROW), F.lit(None).cast("long").alias("id"), F.lit(None).cast("string").alias("__rc_text"), "anchor")
     stream = texts.unionByName(wanted).repartition("block").sortWithinPartitions("block", "kind").select("block", "kind", ROW, "id", "__rc_text", "anchor")
 
-    def made(batch: pa.RecordBatch, anchors: np.ndarray) -> pa.RecordBatch:
+    def made(batch: pa.RecordBatch, anchors: np.ndarray) -> Iterator[pa.RecordBatch]:
         whole = items(batch.column(4), spec.words)
         found = cut(whole.values, whole.offsets, spec)
         at = np.minimum(np.searchsorted(anchors, found.anchor), len(anchors) - 1)
         kept = anchors[at] == found.anchor
         row, place, first, last, anchor = (v[kept] for v in (found.row, found.place, found.first, found.last, found.anchor))
-        begin = whole.offsets[row]
         number, ids = batch.column(2).to_numpy(zero_copy_only=False).astype(np.int64)[row], batch.column(3).to_numpy(zero_copy_only=False).astype(np.int64)[row]
-        # words go as 32 bits of their hash: windows are compared word by word, which is 416 bits or more
-        content = (whole.values >> np.uint64(32)).astype("<u4") if spec.words else whole.data
-        windows = last - first + 1
-        if hot:
-            hashes = window_hashes(whole.values.astype(np.uint64) + np.uint64(1), spec.length)
-            starts, of = ranges(first, windows), np.repeat(np.arange(len(row)), windows)
-            key = mix(hashes[starts] ^ np.uint64(0x5851F42D4C957F2D)).view(np.int64)
-            payload = pa.array([h.tobytes() for h in mix(hashes[starts] * np.uint64(3) + content[starts].astype(np.uint64))], pa.binary())
-            columns = [key, number[of], ids[of], np.zeros(len(of)), starts - begin[of], np.ones(len(of))]
-        else:
-            size = (windows + spec.length - 1) * content.itemsize
-            take = content[ranges(first, windows + spec.length - 1)]
-            ends = np.r_[0, np.cumsum(size)].astype(np.int32)
-            payload = pa.Array.from_buffers(pa.binary(), len(row), [None, pa.py_buffer(ends.tobytes()), pa.py_buffer(take.tobytes())])
-            columns = [anchor, number, ids, place - begin, first - begin, windows]
-        kinds = [np.int64, np.int64, np.int64, np.int32, np.int32, np.int32]
-        return pa.RecordBatch.from_arrays([*[pa.array(c.astype(k)) for c, k in zip(columns, kinds)], payload], names=_NAMES)
+        values = whole.values.astype("<u8") if spec.words else whole.data
+        before, windows = place - first, last - first + 1
+        size = windows + spec.length - 1
+        content = mix(range_hashes(values, first, first + size) ^ mix((before << 32 | windows).astype(np.uint64)))
+        chief = np.zeros(len(row), bool)
+        chief[np.unique(content ^ mix(anchor.view(np.uint64)), return_index=True)[1]] = True
+        for s in range(0, len(row), _SLICE):
+            p = slice(s, s + _SLICE)
+            mine = chief[p]
+            taken = values[ranges(first[p][mine], size[p][mine])]
+            ends = (np.r_[0, np.cumsum(size[p][mine])] * values.itemsize).astype(np.int32)
+            payload = pa.Array.from_buffers(pa.binary(), int(mine.sum()), [None, pa.py_buffer(ends.tobytes()), pa.py_buffer(taken.tobytes())])
+            payload = payload.take(pa.array(np.cumsum(mine) - 1, mask=~mine))
+            columns = [anchor[p], content[p].view(np.int64), number[p], ids[p], (first - whole.offsets[row])[p], before[p], windows[p]]
+            kinds = [np.int64, np.int64, np.int64, np.int64, np.int32, np.int32, np.int32]
+            yield pa.RecordBatch.from_arrays([*[pa.array(c.astype(k)) for c, k in zip(columns, kinds)], payload], names=_NAMES)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         carried, carried_block = np.zeros(0, np.int64), None
@@ -234,7 +212,7 @@ def segments(rows: DataFrame, flagged: DataFrame, spec: Windows, hot: bool) -> D
             known = np.unique(np.r_[carried, anchors]) if carried_block == block[0] else np.unique(anchors)
             if len(known) and is_text.any():
                 for part in text_batches([batch.filter(pa.array(is_text))], 4, _PART):
-                    yield made(part, known)
+                    yield from made(part, known)
             of_last = (block == block[-1])[~is_text] if len(anchors) else np.zeros(0, bool)
             held = anchors[of_last]
             carried = np.r_[carried, held] if carried_block == block[-1] else held
@@ -244,24 +222,36 @@ def segments(rows: DataFrame, flagged: DataFrame, spec: Windows, hot: bool) -> D
     return stream.mapInArrow(run, SEGMENT)
 
 
-Solver = Callable[[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray, np.ndarray]]
+def contents(found: DataFrame) -> DataFrame:
+    """anchor, content, the least id that has it, how often it occurs, before, windows and payload, for each content of the segments.
 
+    Two segments are one content if 48 bits of the anchor's hash and 64 of the content's agree.
+    """
+    return found.groupBy("anchor", "content").agg(
+        F.min("id").alias("id"), F.count("*").alias("n"), F.max("before").alias("before"), F.max("windows").alias("windows"), F.first("payload", ignorenulls=True).alias("payload")
+    )
 
-def solved(found: DataFrame, solver: Solver, most: int = 1 << 13) -> DataFrame:
-    """Spans (ROW, start, end) that solver finds in whole groups of an anchor, about most segments at a time.
 
-    solver(anchor, row, id, place, first, windows, data, offsets) gets rows sorted by anchor, id and row.
-    """
+#: solver(anchor, id, before, windows, data, offsets) gets the different contents of whole anchors, sorted by anchor and id, and tells how many items
+#: before and from the anchor on each repeats; -1 before it where there are none.
+Solver = Callable[[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray]]
+_FOUND = "anchor long, content long, id long, n long, before int, windows int, reach_before int, reach_after int"
+
+
+def solved(distinct: DataFrame, solver: Solver, most: int = 1 << 12) -> DataFrame:
+    """What solver finds in whole groups of an anchor, about most contents at a time; contents that neither repeat anything nor occur twice are left out."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
 
         def solve(t: pa.Table) -> pa.RecordBatch:
             t = t.combine_chunks()
-            columns = [t.column(i).to_numpy() for i in range(6)]
+            anchor, _, id, n, before, windows = (t.column(i).to_numpy() for i in range(6))
             data, offsets = flat_binary(t.column(6))
-            row, start, end = solver(*columns, data, offsets)
-            return pa.RecordBatch.from_arrays([pa.array(row), pa.array(start.astype(np.int32)), pa.array(end.astype(np.int32))], names=[ROW, "start", "end"])
+            reach = solver(anchor, id, before.astype(np.int64), windows.astype(np.int64), data, offsets)
+            kept = (reach[0] >= 0) | (n > 1)
+            columns = [t.column(i).to_numpy()[kept] for i in range(6)]
+            return pa.RecordBatch.from_arrays([*map(pa.array, columns), *[pa.array(r[kept].astype(np.int32)) for r in reach]], names=[f.split()[0] for f in _FOUND.split(", ")])
 
         rows = 0
         for batch in batches:
@@ -282,8 +272,8 @@ def solved(found: DataFrame, solver: Solver, most: int = 1 << 13) -> DataFrame:
         del held, t
         release()
 
-    ordered = found.repartition("anchor").sortWithinPartitions("anchor", "id", ROW)
-    return ordered.mapInArrow(run, f"{ROW} long, start int, end int")
+    ordered = distinct.select("anchor", "content", "id", "n", "before", "windows", "payload").repartition("anchor").sortWithinPartitions("anchor", "id")
+    return ordered.mapInArrow(run, _FOUND)
 
 
 def flat_binary(column: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
@@ -294,23 +284,51 @@ def flat_binary(column: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(texts.buffers()[2], np.uint8)[offsets[0] : offsets[-1]], offsets - offsets[0]
 
 
-def hot_spans(windows: DataFrame, spec: Windows) -> DataFrame:
-    """Spans of the windows of hot anchors: their contents (128 bits of hash) are counted with partial sums and joined back."""
-    if spec.by_document:
-        least = windows.groupBy("anchor", "payload").agg(F.min("id").alias("least"))
-        hit = windows.join(least, ["anchor", "payload"]).where("least < id")
-    else:
-        least = windows.groupBy("anchor", "payload").count().where("count > 1")
-        hit = windows.join(least, ["anchor", "payload"])
-    return hit.select(ROW, F.col("first").alias("start"), (F.col("first") + spec.length).alias("end"))
+def hot_solved(distinct: DataFrame, spec: Windows) -> DataFrame:
+    """The same for contents of hot anchors: each window is an anchor of its own, which is told by 112 bits of hash."""
+
+    def windows_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for s in range(0, whole.num_rows, _SLICE):
+                batch = whole.slice(s, _SLICE)
+                windows = batch.column(5).to_numpy().astype(np.int64)
+                data, offsets = flat_binary(pa.chunked_array([batch.column(6)]))
+                values = data.view("<u8") if spec.words else data
+                of = np.repeat(np.arange(len(windows)), windows)
+                at = ranges(np.zeros(len(windows), np.int64), windows)
+                starts = offsets[of] // values.itemsize + at
+                key = window_hashes(values.astype(np.uint64) + np.uint64(1), spec.length)[starts]
+                yield pa.RecordBatch.from_arrays([*[batch.column(i).take(pa.array(of)) for i in range(6)], pa.array(key.view(np.int64)), pa.array(at.astype(np.int32))], names=[*_NAMES[:2], "id", "n", "before", "windows", "key", "at"])
+        release()
+
+    all_windows = distinct.select("anchor", "content", "id", "n", "before", "windows", "payload").mapInArrow(windows_of, "anchor long, content long, id long, n long, before int, windows int, key long, at int")
+    totals = all_windows.groupBy("anchor", "key").agg(F.min("id").alias("least"), F.sum("n").alias("total"))
+    hit = F.col("least") < F.col("id") if spec.by_document else F.col("total") > 1
+    reach = all_windows.join(totals, ["anchor", "key"]).groupBy("anchor", "content", "id", "n", "before", "windows").agg(
+        F.coalesce(F.max(F.when(hit, F.col("before") - F.col("at"))), F.lit(-1)).cast("int").alias("reach_before"), F.coalesce(F.max(F.when(hit, F.col("at") + spec.length - F.col("before"))), F.lit(-1)).cast("int").alias("reach_after")
+    )
+    return reach.where("reach_before >= 0 OR n > 1")
+
+
+def hot_anchors(distinct: DataFrame, spec: Windows) -> DataFrame:
+    """The anchors of more than spec.hot contents, counted with partial aggregates."""
+    return materialise(distinct.groupBy("anchor").count().where(F.col("count") > spec.hot).select("anchor"))
 
 
 def spans_of(rows: DataFrame, spec: Windows, solver: Solver) -> DataFrame:
     """ROW and its sorted, disjoint spans (array of start, end), in items, for every row that has any."""
-    flagged = materialise(occurrences(rows, spec))
-    found = solved(segments(rows, flagged, spec, False), solver)
-    if flagged.where("hot").limit(1).count():
-        found = found.unionByName(hot_spans(materialise(segments(rows, flagged, spec, True)), spec))
+    cut_out = materialise(segments(rows, materialise(occurrences(rows, spec)), spec))
+    distinct = materialise(contents(cut_out))
+    hot = hot_anchors(distinct, spec)
+    reach = solved(distinct.join(small(hot), "anchor", "left_anti"), solver)
+    if hot.limit(1).count():
+        reach = reach.unionByName(hot_solved(distinct.join(small(hot), "anchor", "left_semi"), spec))
+    reach = reach.select("anchor", "content", F.col("id").alias("least"), "n", "before", "windows", "reach_before", "reach_after")
+    # a content that occurs twice is a repeat from end to end; by document, for all but the least id that has it
+    whole = F.col("id") > F.col("least") if spec.by_document else F.col("n") > 1
+    place = F.col("first") + F.col("before")
+    found = cut_out.select("anchor", "content", ROW, "id", "first").join(small(materialise(reach)), ["anchor", "content"]).where(whole | (F.col("reach_before") >= 0))
+    found = found.select(ROW, F.when(whole, F.col("first")).otherwise(place - F.col("reach_before")).alias("start"), F.when(whole, F.col("first") + F.col("windows") + spec.length - 1).otherwise(place + F.col("reach_after")).alias("end"))
 
     def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Rows (ROW, start, end) sorted by ROW and start: overlapping and touching ones become one."""

@@ -6,13 +6,14 @@ import numpy as np
 
 _BASE = 0x9E3779B97F4A7C15 | 1
 _MASK = (1 << 64) - 1
-_BLOCK = 1 << 22
+#: Items whose running sums are in memory at once.
+_BLOCK = 1 << 18
 _powers: dict[str, np.ndarray] = {}
 
 
 def _powers_to(n: int) -> tuple[np.ndarray, np.ndarray]:
     if len(_powers.get("up", ())) < n:
-        size = max(n, 1 << 16)
+        size = max(n, 1 << 14)
         for name, base in (("up", _BASE), ("down", pow(_BASE, -1, 1 << 64))):
             values = np.full(size, base, np.uint64)
             values[0] = 1
@@ -74,3 +75,11 @@ def window_hashes(items: np.ndarray, length: int) -> np.ndarray:
         np.cumsum(part * up[: len(part)], out=sums[1:])
         out[at : at + _BLOCK] = mix((sums[length:] - sums[:-length]) * down[: len(part) - length + 1])
     return out
+
+
+def spread_hashes(items: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of items[start:start + length] for ranges in any order; the items are few enough to be summed at once."""
+    up, down = _powers_to(len(items) + 1)
+    sums = np.zeros(len(items) + 1, np.uint64)
+    np.cumsum((items.astype(np.uint64) + np.uint64(1)) * up[: len(items)], out=sums[1:])
+    return mix((sums[starts + lengths] - sums[starts]) * down[starts] + lengths.astype(np.uint64))

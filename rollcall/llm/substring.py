@@ -8,45 +8,58 @@ from pyspark.sql import functions as F
 
 from rollcall.llm.anchors import Windows
 from rollcall.llm.common import numbered, ranges
-from rollcall.llm.hashing import mix, window_hashes
+from rollcall.llm.hashing import mix, spread_hashes
 from rollcall.llm.repeats import marks, without_marks
 
 WORDS = Windows(length=13, gram=5, words=True, by_document=True)
 
 
-def factors(anchor, row, id, place, first, windows, data, offsets, length: int = WORDS.length) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Row, start and end (in words) of the factors, of length words or more, of each segment relative to those of smaller ids.
+def factors(anchor, id, before, windows, data, offsets, length: int = WORDS.length) -> tuple[np.ndarray, np.ndarray]:
+    """How many words before and from its anchor on the factors of each content cover; -1 before it where there are none.
 
-    The segments are the reference block; they come sorted by anchor, id and row. Its index gives, for every run
-    of length words, the first place where the block has it. A segment is factored greedily from the left: where
-    its next words are in the index under a smaller id, a factor starts and goes on for as long as the block
-    goes on the same way; where they are not, one word is passed over. Where a factor ends, the runs that
-    straddle the end are looked up like any other, so that a run which the block has at another place starts a factor of
-    its own before the last one is over.
+    The contents come sorted by anchor and id. Those of an anchor are its reference block; they are aligned at the
+    anchor, as equal windows hold it at the same place. The block is indexed by its runs of length words or more from each start:
+    for each run, the smallest id that has it there. A content is parsed greedily from the left: where the block has
+    its next length words under a smaller id, the factor is the longest run that the block has under such an id; where
+    it has not, one word is a literal. Where a factor ends, the windows that straddle the end are looked up as well, so that
+    a run which the block has elsewhere starts a factor before the last one is over. The words of each factor are compared.
     """
-    words = data.view("<u4")
-    begins = offsets[:-1] // 4
-    at = ranges(begins, windows)
-    segment = np.repeat(np.arange(len(anchor)), windows)
-    keys = mix(window_hashes(words.astype(np.uint64) + np.uint64(1), length)[at] ^ mix(anchor.view(np.uint64))[segment])
+    words = data.view("<u8")
+    begins = offsets[:-1] // 8
+    n = len(anchor)
+    of = np.repeat(np.arange(n), windows)  # the content of each window
+    nth = ranges(np.zeros(n, np.int64), windows)
+    longer = windows[of] - nth  # runs that start with the window
+    start, extra = np.repeat(np.arange(len(of)), longer), ranges(np.zeros(len(of), np.int64), longer)
+    at = begins[of] + nth
+    keys = mix(spread_hashes(words, at[start], length + extra) ^ mix(anchor.view(np.uint64))[of[start]] ^ mix((nth - before[of] + (1 << 20)).astype(np.uint64) << np.uint64(8))[start])
     order = np.argsort(keys, kind="stable")
     sorted_keys = keys[order]
     new = np.r_[True, sorted_keys[1:] != sorted_keys[:-1]]
-    source = np.empty(len(at), np.int64)
-    source[order] = np.repeat(order[new], np.diff(np.r_[np.flatnonzero(new), len(at)]))
-    found = id[segment[source]] < id[segment]
-    hit = np.flatnonzero(found)
-    same = np.ones(len(hit), bool)
-    for k in range(length):
-        same &= words[at[hit] + k] == words[at[source[hit]] + k]
-    hit = hit[same]
-    goes_on = np.zeros(len(hit), bool)
-    goes_on[1:] = (hit[1:] == hit[:-1] + 1) & (source[hit[1:]] == source[hit[:-1]] + 1) & (segment[hit[1:]] == segment[hit[:-1]]) & (segment[source[hit[1:]]] == segment[source[hit[:-1]]])
-    starts = np.flatnonzero(~goes_on)
-    runs = np.diff(np.r_[starts, len(hit)])
-    of = segment[hit[starts]]
-    start = first[of] + at[hit[starts]] - begins[of]
-    return row[of], start, start + runs + length - 1
+    source = np.empty(len(keys), np.int64)
+    source[order] = np.repeat(order[new], np.diff(np.r_[np.flatnonzero(new), len(keys)]))
+    has = id[of[start[source]]] < id[of[start]]
+    # what the block has of a run, it has of each shorter one with the same start
+    longest = np.bincount(start[has], minlength=len(of))
+    first_run = np.cumsum(longer) - longer
+    reach_before, reach_after = np.full(n, -1, np.int64), np.full(n, -1, np.int64)
+    none = len(of)
+    following = np.r_[np.minimum.accumulate(np.where(longest > 0, np.arange(none), none)[::-1])[::-1], none]
+    last = np.cumsum(windows)
+    now = following[last - windows]
+    while True:
+        open_ = np.flatnonzero(now < last)
+        if not len(open_):
+            return reach_before, reach_after
+        factor = now[open_]
+        size = length - 1 + longest[factor]
+        there = at[start[source[first_run[factor] + longest[factor] - 1]]]
+        same = np.logical_and.reduceat(words[ranges(at[factor], size)] == words[ranges(there, size)], np.cumsum(size) - size)
+        right, factor, size = open_[same], factor[same], size[same]
+        reach_before[right] = np.maximum(reach_before[right], before[right] - nth[factor])
+        reach_after[right] = np.maximum(reach_after[right], nth[factor] + size - before[right])
+        # the next window that goes beyond the factor's end
+        now[open_] = following[now[open_] + longest[now[open_]]]
 
 
 def remove_words(text: bytes, spans: list[tuple[int, int]], whole: bool, length: int = WORDS.length) -> tuple[int, int, int, bytes]:

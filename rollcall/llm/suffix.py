@@ -2,17 +2,16 @@
 
 from __future__ import annotations
 
-from bisect import bisect_left
 from collections.abc import Iterator
+from itertools import accumulate
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rollcall.llm.anchors import Windows, occurrences, segments
+from rollcall.llm.anchors import Windows, contents, occurrences, segments
 from rollcall.llm.common import ROW, materialise, numbered, ranges, small
-from rollcall.llm.hashing import mix, range_hashes
 from rollcall.llm.repeats import marks, without_marks
 
 BYTES = Windows(length=200, gram=64, words=False, by_document=False)
@@ -32,53 +31,14 @@ def common(a: bytes, b: bytes) -> int:
     return low
 
 
-def interval_repeats(lcp: list[int], lefts: list[bytes], length: int) -> Iterator[tuple[int, int, int]]:
-    """(member, left, right) for the repeats of at least length items in one group of suffixes.
-
-    The suffixes are sorted; lcp[i] is the common prefix of suffixes i and i + 1, and lefts[i] what stands before
-    suffix i, read backwards. A scan with a stack closes the intervals of the common-prefix tree from
-    the deepest up. The members of an interval of depth d share d items to the right; they are kept in the order of
-    what stands before them. When a child joins, each of its members meets its neighbours there: if they can be
-    extended to the left alike by l items, both have a repeat of l + d. An interval whose members are all
-    preceded alike is thereby extended; where what stands before differs, it splits by left extension. Smaller
-    sets join larger ones, so that n suffixes need some n log n meetings and no pairs are listed.
-    """
-    n = len(lefts)
-    order = sorted(range(n), key=lefts.__getitem__)
-    place = [0] * n
-    for i, x in enumerate(order):
-        place[x] = i
-
-    def close(depth: int) -> Iterator[tuple[int, int, int]]:
-        a, b = open_sets.pop(), open_sets.pop()
-        large, few = (a, b) if len(a) >= len(b) else (b, a)
-        for x in few:
-            at = bisect_left(large, x)
-            for y in large[max(0, at - 1) : at + 1]:
-                left = common(lefts[order[x]], lefts[order[y]])
-                if left + depth >= length:
-                    yield order[x], left, depth
-                    yield order[y], left, depth
-            large.insert(at, x)
-        open_sets.append(large)
-
-    open_sets, depths = [[place[0]]], []
-    for i in range(1, n):
-        while depths and depths[-1] >= lcp[i - 1]:
-            yield from close(depths.pop())
-        depths.append(lcp[i - 1])
-        open_sets.append([place[i]])
-    while depths:
-        yield from close(depths.pop())
-
-
 def maximal_groups(lcp: list[int], lefts: list[bytes], length: int) -> Iterator[tuple[int, int, list[int]]]:
     """(left, right, members) of every maximal repeat of at least length items around the start of one group of suffixes, with all its occurrences.
 
-    Input as for interval_repeats. Intervals close from the deepest up, all children of an interval at once. Its
-    members, in the order of what stands before them, form intervals by common left extension; such an interval is a
-    repeat that cannot be extended to the left, and not to the right either if its members come from
-    more than one child. Every occurrence is listed, so the output may be much larger than the spans to remove.
+    The suffixes are sorted; lcp[i] is the common prefix of suffixes i and i + 1, and lefts[i] what stands before
+    suffix i, read backwards. A scan with a stack closes the intervals of the common-prefix tree from the deepest up,
+    all children of an interval at once. Its members, in the order of what stands before them, form intervals by common left
+    extension; such an interval is a repeat that cannot be extended to the left, and not to the right either
+    if its members come from more than one child. Every occurrence is listed.
     """
     n = len(lefts)
     order = sorted(range(n), key=lefts.__getitem__)
@@ -89,15 +49,16 @@ def maximal_groups(lcp: list[int], lefts: list[bytes], length: int) -> Iterator[
     def close(children: list[list[int]], depth: int) -> Iterator[tuple[int, int, list[int]]]:
         child = {x: c for c, members in enumerate(children) for x in members}
         merged = sorted(child)
+        # how often the child has changed up to each member: an interval without change lies in one child
+        changes = [0, *accumulate(child[x] != child[y] for x, y in zip(merged, merged[1:]))]
         open_left: list[tuple[int, int]] = []  # (common left extension, first member) of left intervals that may go on
         for i in range(1, len(merged) + 1):
             shared = common(lefts[order[merged[i - 1]]], lefts[order[merged[i]]]) if i < len(merged) else -1
             first = i - 1
             while open_left and open_left[-1][0] > shared:
                 left, first = open_left.pop()
-                inside = merged[first:i]
-                if left + depth >= length and len({child[x] for x in inside}) > 1:
-                    yield left, depth, [order[x] for x in inside]
+                if left + depth >= length and changes[first] < changes[i - 1]:
+                    yield left, depth, [order[x] for x in merged[first:i]]
             if i < len(merged) and (not open_left or open_left[-1][0] < shared):
                 open_left.append((shared, first))
         sets.append(merged)
@@ -125,21 +86,23 @@ def _first_difference(a: np.ndarray, b: np.ndarray, most: np.ndarray) -> np.ndar
     return np.minimum(out, most)
 
 
-def _sides(place, first, windows, data, offsets, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """How many items stand before and from each anchor on, and both as matrices, padded with zeros; what stands before is read backwards."""
-    left = place - first
+def _sides(left, windows, data, offsets, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """How many items stand from each anchor on, and what stands before and from there, as matrices padded with zeros; what stands before is read backwards."""
     right = windows + length - 1 - left
-    n, begin = len(place), offsets[:-1]
-    after = np.zeros((n, int(right.max())), np.uint8)
-    after[np.repeat(np.arange(n), right), ranges(np.zeros(n, np.int64), right)] = data[ranges(begin + left, right)]
-    before = np.zeros((n, max(1, int(left.max()))), np.uint8)
-    reach = ranges(np.zeros(n, np.int64), left)
-    before[np.repeat(np.arange(n), left), reach] = data[np.repeat(begin + left - 1, left) - reach]
-    return left, right, before, after
+    n, begin = len(left), offsets[:-1]
+    after, before = np.zeros((n, int(right.max())), np.uint8), np.zeros((n, max(1, int(left.max()))), np.uint8)
+    for s in range(0, n, 1 << 10):
+        p = slice(s, s + (1 << 10))
+        l, r, b = left[p], right[p], begin[p]
+        rows = np.arange(s, s + len(l))
+        after[np.repeat(rows, r), ranges(np.zeros(len(l), np.int64), r)] = data[ranges(b + l, r)]
+        reach = ranges(np.zeros(len(l), np.int64), l)
+        before[np.repeat(rows, l), reach] = data[np.repeat(b + l - 1, l) - reach]
+    return right, before, after
 
 
 def _sorted_suffixes(of: np.ndarray, anchor: np.ndarray, after: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The segments `of` by anchor and suffix, the common prefix of each two neighbours (0 between anchors), and the bounds of the anchors' groups."""
+    """The contents `of` by anchor and suffix, the common prefix of each two neighbours (0 between anchors), and the bounds of the anchors' groups."""
     key = np.ascontiguousarray(after[of]).view(f"S{after.shape[1]}").ravel()
     of = of[np.lexsort((key, anchor[of]))]
     a, b = of[:-1], of[1:]
@@ -148,56 +111,38 @@ def _sorted_suffixes(of: np.ndarray, anchor: np.ndarray, after: np.ndarray, righ
     return of, lcp, np.r_[0, np.flatnonzero(~together) + 1, len(of)]
 
 
-def repeats(anchor, row, id, place, first, windows, data, offsets, length: int = BYTES.length) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Row, start and end of repeats that together cover every item in a run of length items that the segments hold twice.
+def repeats(anchor, id, left, windows, data, offsets, length: int = BYTES.length) -> tuple[np.ndarray, np.ndarray]:
+    """How many bytes before and from its anchor on the maximal repeats of each content cover; -1 before it where there are none.
 
-    Every such run holds the anchor of its segment at the same place, so one suffix for each segment, the one that
-    starts at its anchor, is enough: the suffix array is sorted within each anchor, with the common
-    prefix of neighbours. Equal segments are one suffix.
+    Every run of length bytes that two contents of an anchor share holds the anchor, so one suffix for each
+    content, the one that starts at its anchor, is enough: the suffix array is sorted within each anchor, with the common prefix
+    of neighbours, and its maximal repeat groups are listed. A repeat of a content holds its anchor, so that its repeats
+    together are one run, as far as any of them goes. Of two contents, the only group is read off directly.
     """
-    left, right, before, after = _sides(place, first, windows, data, offsets, length)
-    n = len(anchor)
-
-    keys = mix(range_hashes(data, offsets[:-1], offsets[1:]) ^ mix(anchor.view(np.uint64)) ^ mix(left.astype(np.uint64)))
-    _, of, group = np.unique(keys, return_index=True, return_inverse=True)
-    chief = of[group]
-    equal = (after == after[chief]).all(1) & (before == before[chief]).all(1) & (left == left[chief]) & (right == right[chief])
-    chief = np.where(equal, chief, np.arange(n))
-    copies = np.bincount(chief, minlength=n)
-    many = copies[chief] > 1
-    rows, starts, ends = [row[many]], [first[many]], [(first + windows + length - 1)[many]]
-
-    alone = np.flatnonzero(chief == np.arange(n))
-    if len(alone) > 1:
-        alone, lcp, cut = _sorted_suffixes(alone, anchor, after, right)
-        two = np.flatnonzero(np.diff(cut) == 2)
-        x, y, depth = alone[cut[two]], alone[cut[two] + 1], lcp[cut[two]]
-        shared = _first_difference(before[x], before[y], np.minimum(left[x], left[y]))
-        ok = shared + depth >= length
-        member, l, r = [np.r_[x[ok], y[ok]]], [np.r_[shared[ok], shared[ok]]], [np.r_[depth[ok], depth[ok]]]
-        found: list[tuple[int, int, int]] = []
-        for g in np.flatnonzero(np.diff(cut) > 2):
-            s, e = cut[g], cut[g + 1]
-            lefts = [before[i, : left[i]].tobytes() for i in alone[s:e]]
-            found += [(alone[s + m], lm, rm) for m, lm, rm in interval_repeats(lcp[s : e - 1].tolist(), lefts, length)]
-        if found:
-            m, lm, rm = np.array(found, np.int64).T
-            member, l, r = [*member, m], [*l, lm], [*r, rm]
-        member, l, r = map(np.concatenate, (member, l, r))
-        # a repeat counts for the copies of its member too, but those are covered already
-        rows.append(row[member])
-        starts.append(place[member] - l)
-        ends.append(place[member] + r)
-    return tuple(map(np.concatenate, (rows, starts, ends)))
-
-
-def groups(anchor, content, many, place, first, windows, data, offsets, length: int = BYTES.length) -> list[tuple[int, int, str, int]]:
+    right, before, after = _sides(left, windows, data, offsets, length)
+    of, lcp, cut = _sorted_suffixes(np.arange(len(anchor)), anchor, after, right)
+    reach_before, reach_after = np.full(len(anchor), -1, np.int64), np.full(len(anchor), -1, np.int64)
+    two = np.flatnonzero(np.diff(cut) == 2)
+    x, y, depth = of[cut[two]], of[cut[two] + 1], lcp[cut[two]]
+    shared = _first_difference(before[x], before[y], np.minimum(left[x], left[y]))
+    ok = shared + depth >= length
+    for member in (x[ok], y[ok]):
+        reach_before[member], reach_after[member] = shared[ok], depth[ok]
+    for g in np.flatnonzero(np.diff(cut) > 2):
+        s, e = cut[g], cut[g + 1]
+        for l, r, members in maximal_groups(lcp[s : e - 1].tolist(), [before[i, : left[i]].tobytes() for i in of[s:e]], length):
+            member = of[s:e][members]
+            reach_before[member], reach_after[member] = np.maximum(reach_before[member], l), np.maximum(reach_after[member], r)
+    return reach_before, reach_after
+
+
+def groups(anchor, content, many, left, windows, data, offsets, length: int = BYTES.length) -> list[tuple[int, int, str, int]]:
     """(number, length, content, items before the anchor) for every content in every maximal repeat within the reach of its anchor.
 
-    The segments are one for each content; many says which contents occur more than once. Those stand for two equal
-    suffixes, which form the same intervals as any number of them.
+    many says which contents occur more than once. Those stand for two equal suffixes, which form the same intervals
+    as any number of them.
     """
-    left, right, before, after = _sides(place, first, windows, data, offsets, length)
+    right, before, after = _sides(left, windows, data, offsets, length)
     of, lcp, cut = _sorted_suffixes(np.repeat(np.arange(len(anchor)), 1 + many), anchor, after, right)
     out, number = [], 0
     for s, e in zip(cut, cut[1:]):
@@ -226,27 +171,22 @@ def repeat_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
     A repeat is as long as it can be within the reach of an anchor (spec.length + gap bytes around it), so a longer
     one shows as several that overlap; together they cover what remove_repeated_bytes removes. Copies are listed one by one,
-    so this is for looking at a corpus, not for cleaning it. Hot anchors are listed like any other: only one segment of each
-    content meets the others of its anchor, and its occurrences, which carry no text, are joined to the groups after that.
+    so this is for looking at a corpus, not for cleaning it. Hot anchors are listed like any other: one task holds all different
+    contents of an anchor; their occurrences, which carry no text, are joined to the groups after that.
     """
     rows = numbered(docs.select(F.col(id_col).alias("__rc_id"), F.col(text_col).alias("__rc_text")))
-    flagged = materialise(occurrences(rows, spec)).withColumn("hot", F.lit(False))
-    # a content is told by 128 bits of hash and its anchor
-    key = F.md5(F.concat(F.encode(F.concat_ws(",", F.col("place") - F.col("first"), "windows", F.lit("")), "UTF-8"), "payload"))
-    found = segments(rows, flagged, spec, False).withColumn("content", key)
-    contents = found.groupBy("anchor", "content").agg(F.min(F.struct((F.col("place") - F.col("first")).alias("place"), "windows", "payload")).alias("s"), (F.count("*") > 1).alias("many"))
-    contents = contents.select("anchor", "content", "many", F.col("s.place").alias("place"), F.col("s.windows").alias("windows"), F.col("s.payload").alias("payload"))
+    found = materialise(segments(rows, materialise(occurrences(rows, spec)), spec))
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         offsets = np.r_[0, np.cumsum(pdf.payload.map(len))].astype(np.int64)
-        anchor, content, many, place, windows = (pdf[c].to_numpy() for c in ("anchor", "content", "many", "place", "windows"))
-        listed = groups(anchor, content, many, place, np.zeros_like(place), windows, np.frombuffer(b"".join(pdf.payload), np.uint8), offsets, length=spec.length)
+        anchor, content, before, windows = (pdf[c].to_numpy(np.int64) for c in ("anchor", "content", "before", "windows"))
+        listed = groups(anchor, content, (pdf.n > 1).to_numpy(np.int64), before, windows, np.frombuffer(b"".join(pdf.payload), np.uint8), offsets, length=spec.length)
         name = int(anchor[0])
-        return pd.DataFrame([(f"{name:x}.{n}", length, name, c, l) for n, length, c, l in listed], columns=["repeat", "length", "anchor", "content", "before"])
+        return pd.DataFrame([(f"{name:x}.{n}", length, name, c, l) for n, length, c, l in listed], columns=["repeat", "length", "anchor", "content", "inside"])
 
-    listed = materialise(contents.groupBy("anchor").applyInPandas(run, "repeat string, length int, anchor long, content string, before int"))
-    listed = found.select("anchor", "content", ROW, "place").join(small(listed), ["anchor", "content"])
-    listed = listed.select("repeat", "length", F.col(ROW).alias("row"), (F.col("place") - F.col("before")).alias("start"))
+    listed = materialise(contents(found).groupBy("anchor").applyInPandas(run, "repeat string, length int, anchor long, content long, inside int"))
+    listed = found.select("anchor", "content", ROW, "first", "before").join(small(listed), ["anchor", "content"])
+    listed = listed.select("repeat", "length", F.col(ROW).alias("row"), (F.col("first") + F.col("before") - F.col("inside")).alias("start"))
     return listed.join(rows.select(F.col(ROW).alias("row"), F.col("__rc_id").alias(id_col)), "row")
 
 

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from rollcall.llm.substring import WORDS, remove_repeated_words
-from rollcall.llm.suffix import BYTES, common, interval_repeats, maximal_groups, remove_repeated_bytes, repeat_groups
+from rollcall.llm.suffix import BYTES, common, maximal_groups, remove_repeated_bytes, repeat_groups
 
 OUT = {"n": "n_items", "gone": "n_removed", "parts": "n_spans", "sha": "kept_sha256", "kept": "kept_text"}
 
@@ -84,7 +84,7 @@ def corpus(seed, n=60):
     return [(a, b, "x", 1, 2) for a, b in rows]
 
 
-@pytest.mark.parametrize("hot", [8192, 1])
+@pytest.mark.parametrize("hot", [4096, 1])
 def test_words(spark, hot):
     rows = corpus(11)
     docs = table(spark, rows, f"words-{hot}")
@@ -95,7 +95,7 @@ def test_words(spark, hot):
     assert sum(w[3] for w in want) > 1000
 
 
-@pytest.mark.parametrize("hot", [8192, 1])
+@pytest.mark.parametrize("hot", [4096, 1])
 def test_bytes(spark, hot):
     rows = corpus(13)
     docs = table(spark, rows, f"bytes-{hot}")
@@ -110,7 +110,7 @@ def test_empty(spark):
     assert remove_repeated_words(docs, OUT).count() == 0 and remove_repeated_bytes(docs, OUT).count() == 0
 
 
-def test_interval_tree_against_all_pairs():
+def test_groups_reach_as_far_as_any_pair():
     rng = random.Random(2)
     for _ in range(200):
         n, length = rng.randrange(2, 14), 8
@@ -119,7 +119,7 @@ def test_interval_tree_against_all_pairs():
         lcp = [common(a, b) for a, b in zip(suffixes, suffixes[1:])]
         cover = lambda found: [{x for m, l, r in found if m == i for x in range(-l, r)} for i in range(n)]
         pairs = [(i, common(lefts[i], lefts[j]), common(suffixes[i], suffixes[j])) for i in range(n) for j in range(n) if i != j]
-        assert cover([*interval_repeats(lcp, lefts, length)]) == cover([p for p in pairs if p[1] + p[2] >= length])
+        assert cover([(m, l, r) for l, r, members in maximal_groups(lcp, lefts, length) for m in members]) == cover([p for p in pairs if p[1] + p[2] >= length])
 
 
 def test_groups_are_maximal_and_complete():
