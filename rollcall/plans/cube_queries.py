@@ -209,13 +209,41 @@ def q_intent_flags(spark, sf_dir):
     return rows.select("question_id", *[c.alias(n) for n, c in questions.intent_flags(F.col("text")).items()])
 
 
+LABELS = {"AUTOMOBILE": "Automobile", "BUILDING": "Building", "FURNITURE": "Furniture", "HOUSEHOLD": "Household", "MACHINERY": "Machinery"}
+_LEXICON = "VALUES ('voiture', 'AUTOMOBILE', 0), ('maison', 'HOUSEHOLD', 1), ('machine', 'MACHINERY', 2), ('meuble', 'FURNITURE', 3), ('mur', 'BUILDING', 4), ('meublier', 'HOUSEHOLD', 5)"
+
+
+def _names(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, dict[str, str], DataFrame]:
+    """What questions may name: places, labels of sectors, keywords."""
+    return table(spark, sf_dir, "nation").select(F.col("n_name").alias("name")), LABELS, spark.sql(f"SELECT * FROM {_LEXICON} AS l(keyword, sector, ord)")
+
+
 def _ask(spark: SparkSession, sf_dir: str, text: str) -> DataFrame:
-    """The answer to a plain sentence; the names come from the small dimensions."""
-    places = sorted(r.n_name for r in table(spark, sf_dir, "nation").select("n_name").collect())
-    labels = {"AUTOMOBILE": "Automobile", "BUILDING": "Building", "FURNITURE": "Furniture", "HOUSEHOLD": "Household", "MACHINERY": "Machinery"}
-    lexicon = {"voiture": "AUTOMOBILE", "maison": "HOUSEHOLD", "machine": "MACHINERY", "meuble": "FURNITURE"}
-    intent = questions.parse(text, places, labels, lexicon)
-    return questions.execute(intent, rows_of(spark, sf_dir), population(spark, sf_dir))
+    """The answer to a plain sentence."""
+    return questions.execute(questions.parse(spark, text, *_names(spark, sf_dir)), rows_of(spark, sf_dir), population(spark, sf_dir))
+
+
+_PLAIN = """SELECT c_custkey AS question_id, CASE c_custkey % 12 WHEN 0 THEN 'Combien de maisons à NATION_' || CAST(c_custkey % 25 AS STRING) || ' ?' WHEN 1 THEN 'Où le plus de machines'
+ WHEN 2 THEN 'automobile, hors de nation_3' WHEN 3 THEN 'Les meubliers et les murs de nation_' || CAST(c_custkey % 28 AS STRING) WHEN 4 THEN 'spécialisé : machinerie' WHEN 5 THEN 'meub machines'
+ WHEN 6 THEN 'nation_4 et nation_5' WHEN 7 THEN 'Densité de nation_' || CAST(c_custkey % 26 AS STRING) WHEN 8 THEN 'nation_' || CAST(c_custkey % 26 AS STRING) WHEN 9 THEN 'profil' WHEN 10 THEN 'furnitures ou maisons ?' ELSE 'maisonnette, voiture et meublier' END AS text FROM customer"""
+
+
+@query(f"""WITH q AS ({_PLAIN}), f AS (SELECT question_id, strip_accents(lower(text)) AS t FROM q), lex(keyword, sector, ord) AS ({_LEXICON}),
+w AS (SELECT question_id, unnest(ws) AS word, generate_subscripts(ws, 1) AS p FROM (SELECT question_id, regexp_extract_all(t, '[a-z]{{3,}}') AS ws FROM f)),
+h AS (SELECT question_id, p, 0 AS kind, keyword, sector, ord FROM w JOIN lex ON keyword = word OR keyword = regexp_replace(word, 's$', '')
+ UNION ALL SELECT question_id, p, 1, keyword, sector, ord FROM w JOIN lex ON length(word) >= 5 AND (starts_with(keyword, word) OR starts_with(word, keyword))),
+o AS (SELECT question_id, min(2 * p + kind) AS o FROM h GROUP BY 1),
+m AS (SELECT question_id, arg_max(sector, 1000000 * length(keyword) - 1000 * p - ord) AS met FROM h JOIN o USING (question_id) WHERE kind = 0 OR o % 2 = 1 AND 2 * p + 1 = o GROUP BY 1),
+n AS (SELECT question_id, count(*) AS n, min(n_name) AS place FROM f JOIN nation ON regexp_matches(t, '(^|[^a-z0-9])' || lower(n_name) || '($|[^a-z0-9])') GROUP BY 1),
+x AS (SELECT question_id, n, place, coalesce(CASE WHEN contains(t, 'automobile') THEN 'AUTOMOBILE' WHEN contains(t, 'building') THEN 'BUILDING' WHEN contains(t, 'furniture') THEN 'FURNITURE' WHEN contains(t, 'household') THEN 'HOUSEHOLD' WHEN contains(t, 'machinery') THEN 'MACHINERY' END, met) AS sector,
+ regexp_matches(t, 'hors de|en dehors|sauf |excepte|a part ') AS excludes, regexp_matches(t, 'densit|1 ?000|habitant') AS density, regexp_matches(t, 'specialis|represent|concentr') AS special,
+ regexp_matches(t, 'le plus|plus de|quelle commune|classement|top |^ou\\b|\\bou\\b') AS ranking, regexp_matches(t, 'que fait|secteurs|profil|principales? activit') AS profile FROM f LEFT JOIN m USING (question_id) LEFT JOIN n USING (question_id)),
+y AS (SELECT question_id, sector, place, CASE WHEN n > 1 OR excludes OR sector IS NULL AND (special OR ranking) AND place IS NULL OR place IS NULL AND sector IS NULL AND NOT density AND NOT profile THEN NULL
+ WHEN sector IS NOT NULL AND special THEN 'spec' WHEN sector IS NOT NULL AND (place IS NOT NULL OR NOT ranking) THEN 'count' WHEN sector IS NOT NULL THEN 'top' WHEN density OR place IS NULL THEN 'density' ELSE 'profile' END AS action FROM x)
+SELECT question_id, action, CASE WHEN action IS NOT NULL THEN sector END AS sector, CASE WHEN action IN ('count', 'density', 'profile') THEN place END AS place FROM y""")
+def q_interpreted(spark, sf_dir):
+    table(spark, sf_dir, "customer").createOrReplaceTempView("customer")
+    return questions.interpreted(spark.sql(_PLAIN), *_names(spark, sf_dir))
 
 
 @query(f"WITH {_GRID}, r AS (SELECT *, row_number() OVER (ORDER BY n DESC, place) AS rank FROM grid WHERE sector = 'HOUSEHOLD') SELECT rank, place, sector, n::DOUBLE AS value FROM r WHERE place = 'NATION_7'")
@@ -310,7 +338,7 @@ def q_json_payload(spark, sf_dir):
     return cube.payload(cube.dense(rows_of(spark, sf_dir)), population(spark, sf_dir), none, {"BUILDING": "Bâti"})
 
 
-@query(f"WITH {_GRID}, r AS (SELECT *, row_number() OVER (PARTITION BY place ORDER BY n DESC, sector) AS r FROM grid) SELECT place, sector AS dominant, CAST(floor(100.0 * n / place_total + 0.5) AS BIGINT) AS share, place_total AS total FROM r WHERE r = 1 ORDER BY place_total DESC, place LIMIT 10")
+@query(f"WITH {_GRID}, r AS (SELECT *, row_number() OVER (PARTITION BY place ORDER BY n DESC, sector) AS r FROM grid) SELECT place, sector AS dominant, CAST(floor(100.0 * n / place_total + 0.5) AS BIGINT) AS share, place_total AS total FROM r WHERE r = 1")
 def q_table_rows(spark, sf_dir):
     return cube.table_rows(cube.dense(rows_of(spark, sf_dir)), "total").select("place", "dominant", "share", "total")
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from rollcall.operators import classify, cube, geo
 from rollcall.operators.exact import numbered
 from rollcall.plans import questions
-from rollcall.plans.questions import Intent, checked, parse
+from rollcall.plans.questions import Intent, checked, interpreted, parse
 from rollcall.sources import files, ingest, xlsx
 
 
@@ -72,14 +72,19 @@ def test_geojson_file(spark, tmp_path):
 
 
 PLACES, LABELS, LEXICON = ["ZE", "COTONOU", "ABOMEY-CALAVI"], {"food": "Alimentation", "move": "Transport"}, {"boisson": "food", "camion": "move"}
-
-
-@pytest.mark.parametrize(("text", "want"), [
-    ("Combien de boissons à Cotonou ?", Intent("count", "food", ("COTONOU",))), ("azerty", None), ("Où le plus de camions", Intent("top", "move")), ("densité de ZE", Intent("density", None, ("ZE",))), ("abomey calavi ?", Intent("profile", None, ("ABOMEY-CALAVI",))),
-    ("Alimentation hors de Cotonou", None), ("ZE et Cotonou", None), ("camionneurs", Intent("count", "move")), ("spécialisé en transport", Intent("spec", "move")), ("le plus grand", None), ("profil", Intent("density")),
-])
-def test_grammar(text, want):
-    assert parse(text, PLACES, LABELS, LEXICON) == want
+QUESTIONS = {
+    "Combien de boissons à Cotonou ?": Intent("count", "food", ("COTONOU",)), "azerty": None, "Où le plus de camions": Intent("top", "move"), "densité de ZE": Intent("density", None, ("ZE",)), "abomey calavi ?": Intent("profile", None, ("ABOMEY-CALAVI",)),
+    "Alimentation hors de Cotonou": None, "ZE et Cotonou": None, "camionneurs": Intent("count", "move"), "spécialisé en transport": Intent("spec", "move"), "le plus grand": None, "profil": Intent("density"), "treize": None, "": None,
+}
+
+
+def test_grammar(spark):
+    places = spark.createDataFrame([(p,) for p in PLACES], "name string")
+    lexicon = spark.createDataFrame([(k, s, i) for i, (k, s) in enumerate(LEXICON.items())], "keyword string, sector string, ord int")
+    asked = spark.createDataFrame([*enumerate(QUESTIONS)], "question_id int, text string")
+    got = {r.question_id: r.action and Intent(r.action, r.sector, (r.place,) if r.place else ()) for r in interpreted(asked, places, LABELS, lexicon).collect()}
+    assert [got[i] for i in range(len(QUESTIONS))] == [*QUESTIONS.values()]
+    assert parse(spark, "camionneurs", places, LABELS, lexicon) == Intent("count", "move") and parse(spark, "azerty", places, LABELS, lexicon) is None
 
 
 def test_checked_intents():
