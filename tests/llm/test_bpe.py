@@ -1,4 +1,6 @@
 import hashlib
+import json
+import time
 
 import numpy as np
 import public_tokenizers
@@ -7,6 +9,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
+from rollcall.llm import bpe
 from rollcall.llm.bpe import WordBpe, encode_documents
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
@@ -55,3 +58,24 @@ def test_documents(spark):
         assert r.ids_sha256 == hashlib.sha256(np.array(want, "<u4").tobytes()).hexdigest()
         assert r.decoded_sha256 == hashlib.sha256(LIBRARY.decode(want, skip_special_tokens=False).encode()).hexdigest()
     assert encode_documents(docs.limit(0), PATH).count() == 0
+
+
+def test_long_words_take_no_square_of_time():
+    for word in ("a" * 1_000_000, "abcabd" * 100_000, "=-" * 200_000, "".join(map(chr, range(97, 123))) * 8_000):
+        started = time.process_time()
+        same(f"so {word} it is")
+        assert time.process_time() - started < 60
+
+
+def test_more_pieces_than_are_kept(monkeypatch):
+    monkeypatch.setattr(bpe, "CACHE", 50)
+    texts = [f"word{i} the number {i % 7} of {chr(97 + i % 26) * 60} ends" for i in range(300)]
+    found = [x for at in range(0, 300, 20) for x in OWN.all_ids(texts[at : at + 20])]
+    assert [np.frombuffer(x, "<u4").tolist() for x in found] == [LIBRARY.encode(t, add_special_tokens=False).ids for t in texts]
+
+
+def test_files_with_a_decoder_are_refused():
+    with open(PATH, encoding="utf-8") as file:
+        spec = json.load(file)
+    with pytest.raises(ValueError, match="without decoder"):
+        WordBpe(json.dumps(spec | {"decoder": {"type": "BPEDecoder", "suffix": "</w>"}}))
