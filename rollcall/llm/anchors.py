@@ -38,6 +38,8 @@ _PART = 1 << 17
 #: Documents of a block: this many neighbouring rows.
 BLOCK_BITS = 6
 NULL_ID = (1 << 63) - 1
+#: Contents, of some 100 bytes each, that may be broadcast to their occurrences.
+BROADCAST_CONTENTS = 200_000
 _SPACE = np.isin(np.arange(256), [9, 10, 11, 12, 13, 32])
 
 
@@ -62,19 +64,30 @@ class Windows:
 
 @dataclass
 class Items:
-    """The items of a batch of texts: their hashes end to end, and the n + 1 offsets of the rows."""
+    """The items of a batch of texts: their values (words: hashes) end to end, the n + 1 offsets of the rows, and the bytes with each item's start and end in them."""
 
     values: np.ndarray
     offsets: np.ndarray
     data: np.ndarray
+    starts: np.ndarray | None = None
+    ends: np.ndarray | None = None
 
+    def stretches(self, first: np.ndarray, size: np.ndarray) -> pa.Array:
+        """The bytes of size items from each first one on."""
+        start, end = (first, first + size) if self.starts is None else (self.starts[first], self.ends[first + size - 1])
+        cuts = np.r_[0, np.cumsum(end - start)].astype(np.int32)
+        return pa.Array.from_buffers(pa.binary(), len(first), [None, pa.py_buffer(cuts.tobytes()), pa.py_buffer(self.data[ranges(start, end - start)].tobytes())])
 
-def items(texts: pa.Array, words: bool) -> Items:
-    data, offsets = flat_bytes(texts)
+
+def items_of(data: np.ndarray, offsets: np.ndarray, words: bool) -> Items:
     if not words:
         return Items(data, offsets, data)
     starts, ends, rows = spans(data, offsets, ~_SPACE)
-    return Items(range_hashes(data, starts, ends), np.searchsorted(rows, np.arange(len(offsets))), data)
+    return Items(range_hashes(data, starts, ends), np.searchsorted(rows, np.arange(len(offsets))), data, starts, ends)
+
+
+def items(texts: pa.Array, words: bool) -> Items:
+    return items_of(*flat_bytes(texts), words)
 
 
 def sliding_min(values: np.ndarray, width: int) -> np.ndarray:
@@ -165,7 +178,7 @@ def occurrences(rows: DataFrame, spec: Windows) -> DataFrame:
 
 
 #: A segment: its anchor, a hash of its items and the anchor's place in it, its row and id, the place of its first item, how many
-#: items stand before its anchor, its number of windows, and its items, which only the first of equal segments of a batch carries.
+#: items stand before its anchor, its number of windows, and the bytes of its items, which only the first of equal segments of a batch carries.
 SEGMENT = "anchor long, content long, __rc_row long, id long, first int, before int, windows int, payload binary"
 _NAMES = ["anchor", "content", ROW, "id", "first", "before", "windows", "payload"]
 
@@ -183,18 +196,15 @@ def segments(rows: DataFrame, flagged: DataFrame, spec: Windows) -> DataFrame:
         kept = anchors[at] == found.anchor
         row, place, first, last, anchor = (v[kept] for v in (found.row, found.place, found.first, found.last, found.anchor))
         number, ids = batch.column(2).to_numpy(zero_copy_only=False).astype(np.int64)[row], batch.column(3).to_numpy(zero_copy_only=False).astype(np.int64)[row]
-        values = whole.values.astype("<u8") if spec.words else whole.data
         before, windows = place - first, last - first + 1
         size = windows + spec.length - 1
-        content = mix(range_hashes(values, first, first + size) ^ mix((before << 32 | windows).astype(np.uint64)))
+        content = mix(range_hashes(whole.values, first, first + size) ^ mix((before << 32 | windows).astype(np.uint64)))
         chief = np.zeros(len(row), bool)
         chief[np.unique(content ^ mix(anchor.view(np.uint64)), return_index=True)[1]] = True
         for s in range(0, len(row), _SLICE):
             p = slice(s, s + _SLICE)
             mine = chief[p]
-            taken = values[ranges(first[p][mine], size[p][mine])]
-            ends = (np.r_[0, np.cumsum(size[p][mine])] * values.itemsize).astype(np.int32)
-            payload = pa.Array.from_buffers(pa.binary(), int(mine.sum()), [None, pa.py_buffer(ends.tobytes()), pa.py_buffer(taken.tobytes())])
+            payload = whole.stretches(first[p][mine], size[p][mine])
             payload = payload.take(pa.array(np.cumsum(mine) - 1, mask=~mine))
             columns = [anchor[p], content[p].view(np.int64), number[p], ids[p], (first - whole.offsets[row])[p], before[p], windows[p]]
             kinds = [np.int64, np.int64, np.int64, np.int64, np.int32, np.int32, np.int32]
@@ -292,12 +302,10 @@ def hot_solved(distinct: DataFrame, spec: Windows) -> DataFrame:
             for s in range(0, whole.num_rows, _SLICE):
                 batch = whole.slice(s, _SLICE)
                 windows = batch.column(5).to_numpy().astype(np.int64)
-                data, offsets = flat_binary(pa.chunked_array([batch.column(6)]))
-                values = data.view("<u8") if spec.words else data
+                whole_items = items_of(*flat_binary(pa.chunked_array([batch.column(6)])), spec.words)
                 of = np.repeat(np.arange(len(windows)), windows)
                 at = ranges(np.zeros(len(windows), np.int64), windows)
-                starts = offsets[of] // values.itemsize + at
-                key = window_hashes(values.astype(np.uint64) + np.uint64(1), spec.length)[starts]
+                key = window_hashes(whole_items.values.astype(np.uint64) + np.uint64(1), spec.length)[whole_items.offsets[of] + at]
                 yield pa.RecordBatch.from_arrays([*[batch.column(i).take(pa.array(of)) for i in range(6)], pa.array(key.view(np.int64)), pa.array(at.astype(np.int32))], names=[*_NAMES[:2], "id", "n", "before", "windows", "key", "at"])
         release()
 
@@ -327,7 +335,7 @@ def spans_of(rows: DataFrame, spec: Windows, solver: Solver) -> DataFrame:
     # a content that occurs twice is a repeat from end to end; by document, for all but the least id that has it
     whole = F.col("id") > F.col("least") if spec.by_document else F.col("n") > 1
     place = F.col("first") + F.col("before")
-    found = cut_out.select("anchor", "content", ROW, "id", "first").join(small(materialise(reach)), ["anchor", "content"]).where(whole | (F.col("reach_before") >= 0))
+    found = cut_out.select("anchor", "content", ROW, "id", "first").join(small(materialise(reach), BROADCAST_CONTENTS), ["anchor", "content"]).where(whole | (F.col("reach_before") >= 0))
     found = found.select(ROW, F.when(whole, F.col("first")).otherwise(place - F.col("reach_before")).alias("start"), F.when(whole, F.col("first") + F.col("windows") + spec.length - 1).otherwise(place + F.col("reach_after")).alias("end"))
 
     def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -6,7 +6,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rollcall.llm.anchors import Windows
+from rollcall.llm.anchors import Windows, items_of
 from rollcall.llm.common import numbered, ranges
 from rollcall.llm.hashing import mix, spread_hashes
 from rollcall.llm.repeats import marks, without_marks
@@ -22,11 +22,10 @@ def factors(anchor, id, before, windows, data, offsets, length: int = WORDS.leng
     for each run, the smallest id that has it there. A content is parsed greedily from the left: where the block has
     its next length words under a smaller id, the factor is the longest run that the block has under such an id; where
     it has not, one word is a literal. Where a factor ends, the windows that straddle the end are looked up as well, so that
-    a run which the block has elsewhere starts a factor before the last one is over. The words of each factor are compared.
+    a run which the block has elsewhere starts a factor before the last one is over. The words of each factor are compared, by 64 bits of each.
     """
-    words = data.view("<u8")
-    begins = offsets[:-1] // 8
-    n = len(anchor)
+    parsed = items_of(data, offsets, True)
+    words, begins, n = parsed.values, parsed.offsets[:-1], len(anchor)
     of = np.repeat(np.arange(n), windows)  # the content of each window
     nth = ranges(np.zeros(n, np.int64), windows)
     longer = windows[of] - nth  # runs that start with the window
