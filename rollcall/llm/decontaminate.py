@@ -37,17 +37,51 @@ def benchmark_windows(benchmark: DataFrame, id_col: str = "item_id", text_col: s
     return each.select("item", "length", F.transform("part", lambda w: F.xxhash64(w)).alias("h"), F.array_join("part", " ").alias("window"))
 
 
+def _windows(rows: DataFrame, lengths: list[int], first: int) -> DataFrame:
+    """rows with h, i, length and key for each window of one of the lengths; if first is -1, also with i = -1 and no key once for each row."""
+    rows = rows.withColumn("h", F.transform("w", lambda w: F.xxhash64(w)))
+    shortest = lengths[0]
+    at = rows.select("*", F.explode(F.when(F.col("n") - shortest >= first, F.sequence(F.lit(first), F.col("n") - shortest)).otherwise(F.array(F.lit(first)) if first < 0 else F.array().cast("array<int>"))).alias("i"))
+    if len(lengths) == 1:
+        return at.withColumn("length", F.lit(shortest)).withColumn("key", _window_hash("h", F.col("i"), shortest))
+    key = F.lit(None).cast("long")
+    for length in lengths:
+        key = F.when(F.col("length") == length, _window_hash("h", F.col("i"), length)).otherwise(key)
+    at = at.select("*", F.explode(F.when(F.col("i") < 0, F.array(F.lit(shortest))).otherwise(F.array(*map(F.lit, lengths)))).alias("length"))
+    return at.where((F.col("i") < 0) | (F.col("i") + F.col("length") <= F.col("n"))).withColumn("key", F.when(F.col("i") >= 0, key))
+
+
+def _part(start: Column, length: Column) -> Column:
+    return F.array_join(F.slice("w", start + 1, length), " ")
+
+
+def _looked_up(rows: DataFrame, distinct: DataFrame, lengths: list[int]) -> DataFrame:
+    """ROW, __rc_id, n, i, length, wid of each verified hit, and once for each row with i = -1: the windows are broadcast, and one pass does it all."""
+    same = (F.col("key") == F.col("hash")) & (F.col("i") >= 0) & (_part(F.greatest(F.col("i"), F.lit(0)), F.col("length")) == F.col("window"))
+    return _windows(rows, lengths, -1).join(F.broadcast(distinct), same, "left").where("wid is not null or i < 0").select(ROW, "__rc_id", "n", "i", "length", "wid")
+
+
+def _joined(rows: DataFrame, distinct: DataFrame, lengths: list[int]) -> DataFrame:
+    """The same by shuffle: of a document's windows only (row, place, length, key) is shuffled; those whose key is found meet their document once, and are verified there."""
+    keys = _windows(rows, lengths, 0).select(ROW, "i", "length", "key")
+    found = keys.join(distinct, F.col("key") == F.col("hash")).groupBy(ROW).agg(F.collect_list(F.struct("i", "length", "wid", "window")).alias("found"))
+    right = F.filter("found", lambda f: _part(f["i"], f["length"]) == f["window"])
+    none = F.struct(F.lit(-1).alias("i"), F.lit(lengths[0]).alias("length"), F.lit(None).cast("string").alias("wid"))
+    each = F.concat(F.array(none), F.transform(F.coalesce(right, F.array().cast("array<struct<i:int,length:int,wid:string,window:string>>")), lambda f: F.struct(f["i"].alias("i"), f["length"].alias("length"), f["wid"].alias("wid"))))
+    return rows.join(found, ROW, "left").select(ROW, "__rc_id", "n", F.inline(each))
+
+
 def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW) -> DataFrame:
     """One row for each row of docs: its number, id, n_words, n_hit, spans, item_ids, contaminated.
 
     Every window of a document is hashed from the hashes of its words and looked up in the set of benchmark
     windows; a hit is verified word by word. The set is broadcast if it was counted at BROADCAST_WINDOWS or
-    fewer, else joined by shuffle. A document word in any occurrence of a window is hit; contaminated means at
+    fewer, else joined by shuffle, for which docs is read into a numbered copy. A document word in any occurrence of a window is hit; contaminated means at
     least one in twenty words. spans are the hit words as sorted [start, end) ranges; item_ids, sorted as
     strings, are those of items with an occurring window (items without id hit but are not listed).
 
     Null and empty texts have no words; empty tables give no rows, or no hits. Rows that repeat an id are told
-    apart by their number. docs must repeat its rows in the same order in every pass, as a table does.
+    apart by their number.
     """
     wanted = materialise(benchmark_windows(benchmark, window=window))
     lengths = sorted(r.length for r in wanted.select("length").distinct().collect())  # at most `window` numbers
@@ -56,24 +90,10 @@ def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     for length in lengths:
         by_hash = F.when(F.col("length") == length, F.xxhash64(*[F.get("h", F.lit(k)) for k in range(length)])).otherwise(by_hash)
     distinct = materialise(wanted.select("length", "window", by_hash.alias("hash")).distinct().select("window", "hash", F.md5("window").alias("wid")))
-    if distinct.limit(BROADCAST_WINDOWS + 1).count() <= BROADCAST_WINDOWS:
-        distinct = F.broadcast(distinct)
-
-    rows = with_row(docs, F.col(id_col).alias("__rc_id"), words(F.col(text_col)).alias("w"))
-    rows = rows.select(ROW, "__rc_id", "w", F.size("w").alias("n"), F.transform("w", lambda w: F.xxhash64(w)).alias("h"))
-    shortest = lengths[0] if lengths else window
-    # -1 stands for the document itself, so that its words are counted in the same pass
-    at = rows.select("*", F.explode(F.sequence(F.lit(-1), F.greatest(F.lit(-1), F.col("n") - shortest))).alias("i"))
-    if len(lengths) > 1:
-        at = at.select("*", F.explode(F.array(*map(F.lit, lengths))).alias("length")).where((F.col("i") + F.col("length") <= F.col("n")) & ((F.col("i") >= 0) | (F.col("length") == shortest)) | (F.col("i") < 0) & (F.col("length") == shortest))
-    else:
-        at = at.withColumn("length", F.lit(shortest))
-    key = F.lit(None).cast("long")
-    for length in lengths:
-        key = F.when(F.col("length") == length, _window_hash("h", F.col("i"), length)).otherwise(key)
-    at = at.withColumn("key", F.when(F.col("i") >= 0, key) if len(lengths) > 1 else _window_hash("h", F.col("i"), shortest))
-    same = (F.col("key") == F.col("hash")) & (F.col("i") >= 0) & (F.array_join(F.slice("w", F.greatest(F.col("i"), F.lit(0)) + 1, F.col("length")), " ") == F.col("window"))
-    hits = materialise(at.join(distinct, same, "left").where("wid is not null or i < 0").select(ROW, "__rc_id", "n", "i", "length", "wid"))
+    few = distinct.limit(BROADCAST_WINDOWS + 1).count() <= BROADCAST_WINDOWS
+    rows = with_row(docs if few else numbered(docs), F.col(id_col).alias("__rc_id"), words(F.col(text_col)).alias("w"))
+    rows = rows.select(ROW, "__rc_id", "w", F.size("w").alias("n"))
+    hits = materialise((_looked_up if few else _joined)(rows, distinct, lengths or [window]))
 
     spans = hits.groupBy(ROW).agg(F.first("__rc_id").alias(id_col), F.first("n").alias("n_words"), F.array_sort(F.collect_set(F.when(F.col("i") >= 0, F.struct("i", (F.col("i") + F.col("length")).alias("end"))))).alias("at"))
     spans = spans.withColumn("spans", merged("at"))

@@ -78,3 +78,22 @@ def test_contamination(spark, monkeypatch):
     none = contamination(docs, benchmark.where(F.lit(False))).collect()
     assert len(none) == len(rows) and not any(r.n_hit or r.contaminated for r in none)
     assert contamination(docs.where(F.lit(False)), benchmark).count() == 0
+
+
+def shuffled_bytes(spark):
+    sc = spark.sparkContext
+    store, array = sc._jsc.sc().statusStore(), sc._gateway.new_array(sc._jvm.double, 0)
+    stages = store.stageList(sc._jvm.java.util.ArrayList(), False, False, array, sc._jvm.java.util.ArrayList())
+    return sum(stages.apply(i).shuffleWriteBytes() for i in range(stages.size()))
+
+
+def test_shuffled_windows_do_not_carry_their_document(spark, monkeypatch):
+    rng = random.Random(3)
+    long = [f"w{rng.randrange(5000)}" for _ in range(20_000)]
+    docs = save(spark, [(1, " ".join(long)), (2, "short one"), (3, None)], "doc_id long, text string", "long")
+    items = spark.createDataFrame([(7, " ".join(long[500:530])), (8, " ".join(long[900:905])), (9, "nothing of it")], "item_id long, text string")
+    monkeypatch.setattr(decontaminate, "BROADCAST_WINDOWS", 0)
+    before = shuffled_bytes(spark)
+    got = {r.doc_id: (r.n_words, r.n_hit, r.item_ids) for r in contamination(docs, items).collect()}
+    assert got == {1: (20_000, 35, ["7", "8"]), 2: (2, 0, []), 3: (0, 0, [])}
+    assert 0 < shuffled_bytes(spark) - before < 10_000_000
