@@ -58,7 +58,7 @@ def _reply_calls(rows: DataFrame, role: str, text: str) -> DataFrame:
 
 def _reply_results(rows: DataFrame, role: str, text: str) -> DataFrame:
     """Each assistant turn is taken as the result of the turn before it."""
-    return rows.where(F.col(role) == "assistant").select("conv", "turn", F.concat_ws("-", "conv", F.col("turn") - 1).alias("call_id"), F.col(text).alias("content"))
+    return rows.where(F.col(role) == "assistant").select(ROW, "conv", "turn", F.concat_ws("-", "conv", F.col("turn") - 1).alias("call_id"), F.col(text).alias("content"))
 
 
 def op7_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
