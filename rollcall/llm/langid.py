@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from rollcall.llm.common import text_batches
+from rollcall.llm.common import materialise, small, text_batches
 from rollcall.llm.hashing import mix
 
 UNKNOWN = "und"
@@ -22,14 +22,14 @@ SALTS = 32
 
 @dataclass(frozen=True)
 class Mixture:
-    """rows: documents of each language to learn from at most (those of the smallest hash of the id); languages: the most frequent ones that are learned.
+    """rows: documents of each language to learn from at most (those of the smallest hash of the id); languages: how many the table may have; more are refused, none is left out.
 
     bits: log2 of the n-gram table; smooth: count added to every n-gram; rounds: EM steps; penalty: log-likelihood
     that each further language must gain for each logarithm of the number of words (words that languages share make more than the Bayesian 1/2 necessary).
     """
 
     rows: int = 1_500
-    languages: int = 256
+    languages: int = 1024
     bits: int = 15
     smooth: float = 0.5
     rounds: int = 6
@@ -143,38 +143,44 @@ def identify(texts: pa.Array, table: np.ndarray, spec: Mixture) -> tuple[np.ndar
 def train(docs: DataFrame, lang_col: str = "lang", id_col: str = "doc_id", text_col: str = "text", spec: Mixture = Mixture()) -> tuple[list[str], np.ndarray]:
     """Languages, sorted, and the log-probability of each n-gram in each (2^bits x languages) from a bounded sample of docs.
 
-    Rows without language or id teach nothing. The counts of n-grams that reach the driver are at most
-    2^bits x spec.languages numbers.
+    Rows without language or id teach nothing. Every language there is is learned; more than spec.languages are an
+    error. The counts of n-grams that reach the driver are at most 2^bits numbers for each language.
     """
     known = docs.where(F.col(lang_col).isNotNull()).select(F.col(lang_col).alias("l"), F.col(id_col).alias("i"))
-    names = sorted(r.l for r in known.groupBy("l").count().orderBy(F.desc("count"), "l").limit(spec.languages).collect())
+    names = sorted(r.l for r in known.select("l").distinct().limit(spec.languages + 1).collect())
+    if len(names) > spec.languages:
+        raise ValueError(f"more than {spec.languages} languages: a larger table has to be asked for")
     if not names:
         return [], np.zeros((1 << spec.bits, 0), np.float32)
     # the first rows of each of SALTS parts of a language, then of the language: no task sorts more than SALTS x rows of one language
     rank = lambda *by: F.row_number().over(Window.partitionBy(*by).orderBy(F.xxhash64("i"), "i"))
-    chosen = known.where(F.col("l").isin(names) & F.col("i").isNotNull()).withColumn("salt", F.pmod(F.hash("i"), F.lit(SALTS)))
+    chosen = known.where(F.col("i").isNotNull()).withColumn("salt", F.pmod(F.hash("i"), F.lit(SALTS)))
     for by in (("l", "salt"), ("l",)):
         chosen = chosen.withColumn("r", rank(*by)).where(F.col("r") <= spec.rows)
     chosen = chosen.select("l", "i")
-    rows = docs.select(F.col(lang_col).alias("l"), F.col(id_col).alias("i"), F.col(text_col).alias("t")).join(F.broadcast(chosen.distinct()), ["l", "i"])
+    rows = docs.select(F.col(lang_col).alias("l"), F.col(id_col).alias("i"), F.col(text_col).alias("t")).join(small(materialise(chosen.distinct())), ["l", "i"])
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         size = 1 << spec.bits
-        sums: dict[str, np.ndarray] = {}
+        sums: dict[int, np.ndarray] = {}
         for batch in text_batches(batches, 1):
             row, first, found = grams(batch.column(1), spec.bits)
             code = np.array([names.index(x) for x in batch.column(0).to_pylist()])
             of = np.repeat(code[row], np.diff(np.r_[first, len(found)]))
             for c in np.unique(code):
-                sums[names[c]] = sums.get(names[c], 0) + np.bincount(found[of == c], minlength=size)
-        for name, values in sums.items():
+                sums[c] = sums.get(c, 0) + np.bincount(found[of == c], minlength=size)
+        for code, values in sums.items():
             at = np.flatnonzero(values)
-            yield pa.RecordBatch.from_arrays([pa.array([name] * len(at)), pa.array(at), pa.array(values[at].astype(np.int64))], names=["l", "g", "n"])
-
-    counts = rows.select("l", "t").mapInArrow(count, "l string, g long, n long").groupBy("l", "g").agg(F.sum("n").alias("n")).toPandas()
-    table = np.full((1 << spec.bits, len(names)), spec.smooth)
-    table[counts.g.to_numpy(np.int64), np.searchsorted(names, counts.l.to_numpy(str))] += counts.n.to_numpy(float)
-    return names, np.log(table / table.sum(0)).astype(np.float32)
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(at), code, np.int16)), pa.array(at.astype(np.int32)), pa.array(values[at].astype(np.int64))], names=["l", "g", "n"])
+
+    counts = rows.select("l", "t").mapInArrow(count, "l short, g int, n long").groupBy("l", "g").agg(F.sum("n").alias("n"))
+    # a language at a time, so that the driver holds one's counts, 2^bits at most, beside the table
+    by_language = counts.groupBy("l").agg(F.collect_list(F.struct("g", "n")).alias("c"))
+    table = np.full((1 << spec.bits, len(names)), spec.smooth, np.float32)
+    for row in by_language.toLocalIterator():
+        g, n = np.array(row.c, np.int64).T
+        table[g, row.l] += n
+    return names, np.log(table / table.sum(0, dtype=np.float64)).astype(np.float32)
 
 
 def predict(docs: DataFrame, model: tuple[list[str], np.ndarray], text_col: str = "text", spec: Mixture = Mixture()) -> DataFrame:

@@ -1,3 +1,4 @@
+import math
 import random
 from itertools import product
 
@@ -109,3 +110,48 @@ def test_languages(spark):
     assert got[903].lang_pred == "xx" and set(got[903].langs) == {"xx", "yy"} and got[903].score == pytest.approx(2 / 3, abs=0.05)
     assert {r.lang_pred for r in langid.predict(docs, ([], np.zeros((1 << 15, 0)))).collect()} == {"und"}
     assert langid.predict(docs.limit(0), model).count() == 0
+
+
+def test_ftrl_as_coordinate_by_coordinate():
+    rng, spec = random.Random(3), toxicity.Ftrl(bits=4, alpha=0.5, l1=0.2)
+    examples = [(np.array(sorted(rng.sample(range(16), rng.randrange(6))), np.int64), rng.randrange(2)) for _ in range(300)]
+    z, n = [0.0] * 17, [0.0] * 17  # the last one is the bias, which has no penalties
+
+    def weight(i):
+        l1, l2 = (spec.l1, spec.l2) if i < 16 else (0.0, 0.0)
+        return 0.0 if abs(z[i]) <= l1 else -(z[i] - math.copysign(l1, z[i])) / ((spec.beta + math.sqrt(n[i])) / spec.alpha + l2)
+
+    for found, label in examples:
+        at = [*found.tolist(), 16]
+        w = {i: weight(i) for i in at}
+        gradient = 1 / (1 + math.exp(-sum(w.values()))) - label
+        for i in at:
+            sigma = (math.sqrt(n[i] + gradient**2) - math.sqrt(n[i])) / spec.alpha
+            z[i] += gradient - sigma * w[i]
+            n[i] += gradient**2
+    at, w, bias = toxicity.learn(examples, spec)
+    want = {i: weight(i) for i in range(16) if weight(i)}
+    assert 0 < len(want) < 16 and at.tolist() == sorted(want)
+    assert np.allclose(w, [want[i] for i in at]) and math.isclose(bias, weight(16))
+
+
+def test_mixtures_as_word_by_word():
+    rng, spec = random.Random(4), langid.Mixture(rounds=5)
+    scores = [[[rng.uniform(-9, -1) for _ in range(3)] for _ in range(rng.randrange(1, 6))] for _ in range(20)]
+    row = np.repeat(np.arange(20), [len(d) for d in scores])
+    share, total = langid.mixtures(row, np.array([w for d in scores for w in d]), 21, spec)
+    for d, words in enumerate(scores):
+        mine = [1 / 3] * 3
+        for _ in range(spec.rounds):
+            given = [[m * math.exp(s) for m, s in zip(mine, w)] for w in words]
+            mine = [sum(g[k] / sum(g) for g in given) / len(words) for k in range(3)]
+        assert np.allclose(share[d], mine)
+        assert math.isclose(total[d], sum(math.log(sum(m * math.exp(s) for m, s in zip(mine, w))) for w in words))
+    assert np.allclose(share[20], 1 / 3) and total[20] == 0
+
+
+def test_more_languages_than_asked_for_are_refused(spark):
+    docs = spark.createDataFrame([(i, f"word {i}", f"l{i}") for i in range(5)], "doc_id long, text string, lang string")
+    assert langid.train(docs, spec=langid.Mixture(languages=5))[0] == ["l0", "l1", "l2", "l3", "l4"]
+    with pytest.raises(ValueError, match="more than 4 languages"):
+        langid.train(docs, spec=langid.Mixture(languages=4))
