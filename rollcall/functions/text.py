@@ -89,3 +89,17 @@ def label_tokens(text: Column) -> Column:
 def place_key(name: Column) -> Column:
     """The folded name's letters and digits in upper case, for joins of place names."""
     return F.regexp_replace(unaccented(F.upper(name)), r"[^\p{L}\p{N}]", "")
+
+
+def french_number(value: Column, decimals: int = 1) -> Column:
+    """A number as French readers write it: thousands apart by a narrow space, a comma, no closing zeros, halves rounded up; null as null."""
+    text = F.round(F.abs(value), decimals).cast(f"decimal(38,{decimals})").cast("string")
+    whole = F.regexp_replace(F.split(text, r"\.")[0], r"(?<=\d)(?=(\d{3})+$)", "\u202f")
+    part = F.regexp_replace(F.coalesce(F.get(F.split(text, r"\."), F.lit(1)), F.lit("")), "0+$", "")
+    shown = F.when(part == "", whole).otherwise(F.concat(whole, F.lit(","), part))
+    return F.when((value < 0) & (shown != "0"), F.concat(F.lit("-"), shown)).otherwise(shown)
+
+
+def ordinal(rank: Column) -> Column:
+    """A rank with its raised French ending."""
+    return F.concat(rank.cast("string"), F.when(rank == 1, F.lit("\u02b3\u1d49")).otherwise(F.lit("\u1d49")))

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from rollcall.functions.text import label_tokens
+from rollcall.storage import small
 
 # Sector ids and their labels.
 SECTORS = {
@@ -60,9 +61,9 @@ def checked_mapping(mapping: DataFrame, known: list[str] | None = None) -> DataF
 
 
 def classified(raw: DataFrame, entities: DataFrame, mapping: DataFrame) -> DataFrame:
-    """entities with activity_main and sector, both null where not known. The mapping is a closed vocabulary and is broadcast."""
+    """entities with activity_main and sector, both null where not known. The mapping is a closed vocabulary, broadcast if it is counted as small."""
     main = majority(raw, "entity_id", "activity", "activity_main").withColumnRenamed("entity_id", "id")
-    return entities.drop("activity_main", "sector").join(main, "id", "left").join(F.broadcast(mapping.withColumnRenamed("activity", "activity_main")), "activity_main", "left")
+    return entities.drop("activity_main", "sector").join(main, "id", "left").join(small(mapping.withColumnRenamed("activity", "activity_main")), "activity_main", "left")
 
 
 def distribution(found: DataFrame) -> DataFrame:

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from rollcall.operators.classify import weighted_majority
+from rollcall.storage import small
 
 # Class bounds of the location quotient, classes, districts listed, least total of a place that is ranked by quotient.
 LQ_CUTS = (0.33, 0.5, 0.8, 1.25, 2.0, 3.0)
@@ -135,5 +136,5 @@ def payload(grid: DataFrame, population: DataFrame, districts: DataFrame, labels
     """place and its json: total, sectors (label, count) that are not empty, population (0 if not known), districts. population: place, pop; districts: place, quartiers."""
     shown = F.create_map(*[x for k, v in labels.items() for x in (F.lit(k), F.lit(v))]) if labels else F.create_map().cast("map<string,string>")
     by_place = grid.where("n > 0").groupBy(place, "place_total").agg(F.array_sort(F.collect_list(F.struct(F.col(sector).alias("id"), F.coalesce(F.try_element_at(shown, F.col(sector)), F.lit("?")).alias("label"), "n"))).alias("sectors"))
-    joined = by_place.join(F.broadcast(population), place, "left").join(districts, place, "left")
+    joined = by_place.join(small(population), place, "left").join(districts, place, "left")
     return joined.select(place, F.to_json(F.struct(F.col("place_total").alias("total"), F.coalesce("pop", F.lit(0)).alias("pop"), "sectors", F.coalesce("quartiers", F.array().cast("array<string>")).alias("quartiers"))).alias("json"))

@@ -12,7 +12,8 @@ ALIASES = {
     "SEME-PODJI": "Seme-Kpodji", "AKPRO-MISSERETE": "Akpo-Misserete", "BOUKOUMBE": "Boukombe", "COBLY": "Kobli",
     "KLOUEKANMEY": "Klouekanme", "OUASSA-PEHUNCO": "Pehunco", "TOUKOUNTOUNA": "Toucountouna",
 }
-WORLD = [[-180.0, -90.0], [180.0, -90.0], [180.0, 90.0], [-180.0, 90.0], [-180.0, -90.0]]
+WORLD = [[-180.0, -85.0], [180.0, -85.0], [180.0, 85.0], [-180.0, 85.0], [-180.0, -85.0]]
+MASK_NAME = "__mask__"
 
 
 def matched(places: DataFrame, shapes: DataFrame, aliases: dict[str, str] | None = None) -> DataFrame:
@@ -64,3 +65,19 @@ def unit_square(coordinates: Column, box: Column) -> Column:
 def feature(name: Column, coordinates: Column, decimals: int = 3) -> Column:
     """A GeoJSON feature as text."""
     return F.to_json(F.struct(F.lit("Feature").alias("type"), F.struct(name.alias("name")).alias("properties"), F.struct(F.lit("MultiPolygon").alias("type"), rounded(coordinates, decimals).alias("coordinates")).alias("geometry")))
+
+
+def mask_feature(coordinates: Column, decimals: int = 3) -> Column:
+    """The mask around a country as a GeoJSON feature."""
+    return F.to_json(F.struct(F.lit("Feature").alias("type"), F.struct(F.lit(MASK_NAME).alias("name")).alias("properties"), F.struct(F.lit("Polygon").alias("type"), mask(rounded(coordinates, decimals)).alias("coordinates")).alias("geometry")))
+
+
+def collection(shapes: DataFrame, country: DataFrame, decimals: int = 3) -> DataFrame:
+    """One row `geojson`: a collection of the features of shapes (name, coordinates), by name, and after them the mask around country (coordinates).
+
+    The map of a directory's places, so one row holds it.
+    """
+    features = shapes.select(F.lit(0).alias("o"), "name", feature(F.col("name"), F.col("coordinates"), decimals).alias("f"))
+    features = features.unionByName(country.select(F.lit(1).alias("o"), F.lit(MASK_NAME).alias("name"), mask_feature(F.col("coordinates"), decimals).alias("f")))
+    joined = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("o", "name", "f"))), lambda x: x["f"]), ",")
+    return features.agg(F.concat(F.lit('{"type":"FeatureCollection","features":['), joined, F.lit("]}")).alias("geojson"))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable, Iterator
 
 import pandas as pd
@@ -9,15 +10,57 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from rollcall.functions.scoring import GRAY, MERGE
+from rollcall.operators import clustering
 
 # Verdicts, the confirming answer of the second pass, pairs in one request.
 SAME, DIFFERENT, UNSURE, CONFIRMED = "meme", "diff", "incertain", "confirme"
 BATCH = 25
+# Requests for one answer at most, seconds before the first repetition (doubled each time) and between requests, and what is worth repeating.
+ATTEMPTS, FIRST_DELAY, INTERVAL, PASSING = 4, 10.0, 7.0, (429, 500, 503)
 
 #: Gets pair descriptions, returns the text of the answer.
 Judge = Callable[[list[str]], str]
 
 
+class Refused(Exception):
+    """The remote model answered with an error code."""
+
+    def __init__(self, code: int):
+        super().__init__(f"refused with {code}")
+        self.code = code
+
+
+def patient(request: Callable[[list[str], dict], str | None], options: dict | None = None, optional: tuple[str, ...] = (), attempts: int = ATTEMPTS, delay: float = FIRST_DELAY, interval: float = INTERVAL, sleep: Callable[[float], None] = time.sleep, clock: Callable[[], float] = time.monotonic) -> Judge:
+    """A judge that asks request(lines, options) with patience.
+
+    Two requests start interval seconds apart at least; codes that pass are asked again after a delay that doubles; the code 400
+    with options that a model need not know is asked again without those. After the last attempt a refusal is raised. An
+    answer that holds nothing is empty text. Each partition waits for itself, so a limit for all asks for one partition.
+    """
+    known, last = dict(options or {}), [float("-inf")]
+
+    def judge(lines: list[str]) -> str:
+        pause, left = delay, attempts
+        while True:
+            if (wait := last[0] + interval - clock()) > 0:
+                sleep(wait)
+            left, last[0] = left - 1, clock()
+            try:
+                return request(lines, dict(known)) or ""
+            except Refused as error:
+                droppable = [o for o in optional if o in known]
+                if not left or not (error.code in PASSING or error.code == 400 and droppable):
+                    raise
+                if error.code == 400:
+                    for o in droppable:
+                        del known[o]
+                else:
+                    sleep(pause)
+                    pause *= 2
+
+    return judge
+
+
 def described(index: Column, pair: str = "p") -> Column:
     """One line on a pair: its number; name, places, up to three districts and sector of both sides; name similarity; shared contacts."""
     def side(letter: str) -> Column:
@@ -89,3 +132,15 @@ def final_edges(pairs: DataFrame, verdict_rows: DataFrame) -> DataFrame:
 def with_gold_context(gold: DataFrame, pairs: DataFrame) -> DataFrame:
     """gold with channels and name_sim of its pairs; none and 0 where a pair is not a candidate."""
     return gold.join(pairs.select("entity_a", "entity_b", "channels", "name_sim"), ["entity_a", "entity_b"], "left").withColumns({"channels": F.coalesce("channels", F.array().cast("array<string>")), "name_sim": F.coalesce("name_sim", F.lit(0.0))})
+
+
+def reclustered(pairs: DataFrame, verdict_rows: DataFrame, ids: DataFrame) -> DataFrame:
+    """(id, cluster_id) of every id, from the merge zone's pairs and those judged the same, under the guard against weak chains."""
+    return clustering.clusters(final_edges(pairs, verdict_rows), ids)[0]
+
+
+def gold_rows(sample: DataFrame, entities: DataFrame) -> DataFrame:
+    """The table that people annotate, for each pair of sample (entity_a, entity_b, score, zone): names and places of both sides from entities (id, name, communes), and an empty column for the answer."""
+    side = lambda s: entities.select(F.col("id").alias(f"entity_{s}"), F.col("name").alias(f"name_{s}"), F.array_join(F.array_sort("communes"), " / ").alias(f"communes_{s}"))
+    joined = sample.join(side("a"), "entity_a").join(side("b"), "entity_b")
+    return joined.select("entity_a", "entity_b", "name_a", "name_b", "communes_a", "communes_b", "score", "zone", F.lit("").alias("same_business"))

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from rollcall.functions import text
 from rollcall.operators import classify, cube, geo
 from rollcall.plans import questions
 from rollcall.plans.catalogue import query
@@ -218,9 +219,9 @@ def _names(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, dict[str, str],
     return table(spark, sf_dir, "nation").select(F.col("n_name").alias("name")), LABELS, spark.sql(f"SELECT * FROM {_LEXICON} AS l(keyword, sector, ord)")
 
 
-def _ask(spark: SparkSession, sf_dir: str, text: str) -> DataFrame:
+def _ask(spark: SparkSession, sf_dir: str, question: str) -> DataFrame:
     """The answer to a plain sentence."""
-    return questions.execute(questions.parse(spark, text, *_names(spark, sf_dir)), rows_of(spark, sf_dir), population(spark, sf_dir))
+    return questions.execute(questions.parse(spark, question, *_names(spark, sf_dir)), rows_of(spark, sf_dir), population(spark, sf_dir))
 
 
 _PLAIN = """SELECT c_custkey AS question_id, CASE c_custkey % 12 WHEN 0 THEN 'Combien de maisons à NATION_' || CAST(c_custkey % 25 AS STRING) || ' ?' WHEN 1 THEN 'Où le plus de machines'
@@ -357,3 +358,19 @@ def q_mask(spark, sf_dir):
 def q_feature(spark, sf_dir):
     ring = F.array(F.array(F.lit(0.50001), F.col("n_nationkey").cast("double")), F.array(F.lit(1.0), F.lit(0.0)))
     return table(spark, sf_dir, "nation").select(F.col("n_name").alias("name"), geo.feature(F.col("n_name"), F.array(F.array(ring))).alias("feature"))
+
+
+@query("""WITH v AS (SELECT c_custkey, c_acctbal * 997 AS x FROM customer), r AS (SELECT c_custkey, x, CAST(round(abs(CAST(x AS DECIMAL(38, 6))), 1) AS DECIMAL(38, 1)) AS t FROM v), w AS (SELECT *, CAST(floor(t) AS BIGINT) AS i, CAST((t - floor(t)) * 10 AS BIGINT) AS d FROM r)
+SELECT c_custkey AS id, CASE WHEN x < 0 AND t <> 0 THEN '-' ELSE '' END || replace(format('{:,}', i), ',', '\u202f') || CASE WHEN d = 0 THEN '' ELSE ',' || d END AS shown, c_custkey || CASE WHEN c_custkey = 1 THEN '\u02b3\u1d49' ELSE '\u1d49' END AS place FROM w""")
+def q_french_format(spark, sf_dir):
+    value = (F.col("c_acctbal") * 997).cast("decimal(38,6)")
+    return table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("id"), text.french_number(value).alias("shown"), text.ordinal(F.col("c_custkey")).alias("place"))
+
+
+@query("""WITH f AS (SELECT n_name, '{"type":"Feature","properties":{"name":"' || n_name || '"},"geometry":{"type":"MultiPolygon","coordinates":[[[[0.5,' || n_nationkey || '.0],[1.0,0.0]]]]}}' AS f FROM nation)
+SELECT '{"type":"FeatureCollection","features":[' || string_agg(f, ',' ORDER BY n_name) || ',{"type":"Feature","properties":{"name":"__mask__"},"geometry":{"type":"Polygon","coordinates":[[[-180.0,-85.0],[180.0,-85.0],[180.0,85.0],[-180.0,85.0],[-180.0,-85.0]],[[0.5,7.0],[1.0,0.0]]]}}]}' AS geojson FROM f""")
+def q_collection(spark, sf_dir):
+    ring = lambda y: F.array(F.array(F.array(F.array(F.lit(0.50001), y), F.array(F.lit(1.0), F.lit(0.0)))))
+    nation = table(spark, sf_dir, "nation")
+    shapes = nation.select(F.col("n_name").alias("name"), ring(F.col("n_nationkey").cast("double")).alias("coordinates"))
+    return geo.collection(shapes, nation.where("n_nationkey = 7").select(ring(F.lit(7.0)).alias("coordinates")))

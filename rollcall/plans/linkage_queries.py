@@ -248,3 +248,16 @@ def q_pair_lines(spark, sf_dir):
     side = lambda x: F.struct(F.col(f"{x}_side.name_norm").alias("name"), F.col(f"{x}_side.communes").alias("communes"), F.array().cast("array<string>").alias("quartiers"), F.lit(None).cast("string").alias("sector_label")).alias(f"{x}_side")
     p = F.struct(side("a"), side("b"), "channels", F.lit(0.5).alias("name_sim"))
     return _pairs(spark, sf_dir).select(F.col("a").alias("entity_a"), F.col("b").alias("entity_b"), p.alias("p")).select("entity_a", "entity_b", judging.described(F.lit(1)).alias("line"))
+
+
+@query(f"""WITH g AS ({_GOLD}), v AS ({_VERDICTS}), e AS (SELECT entity_a AS a FROM g WHERE zone = 'fusion' UNION SELECT g.entity_a FROM g JOIN v USING (entity_a, entity_b) WHERE v.verdict = 'meme'),
+ids AS (SELECT DISTINCT doc_id AS id FROM documents), r AS (SELECT id, max(CASE WHEN a IS NULL THEN id END) OVER (ORDER BY id) AS top FROM (SELECT ids.id, e.a FROM ids LEFT JOIN e ON ids.id = e.a + 1)) SELECT id, top AS cluster_id FROM r""")
+def q_reclustered(spark, sf_dir):
+    return judging.reclustered(_gold(spark, sf_dir), spark.sql(_VERDICTS), table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id")))
+
+
+@query("SELECT c_custkey AS entity_a, c_custkey + 1 AS entity_b, 'name ' || c_custkey AS name_a, 'name ' || (c_custkey + 1) AS name_b, 'A / P' || (c_custkey % 9) AS communes_a, 'A / P' || ((c_custkey + 1) % 9) AS communes_b, 0.5::DOUBLE AS score, 'rejet' AS zone, '' AS same_business FROM customer WHERE c_custkey + 1 IN (SELECT c_custkey FROM customer)")
+def q_gold_rows(spark, sf_dir):
+    ids = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("id"))
+    entities = ids.select("id", F.concat(F.lit("name "), "id").alias("name"), F.array(F.concat(F.lit("P"), F.col("id") % 9), F.lit("A")).alias("communes"))
+    return judging.gold_rows(ids.select(F.col("id").alias("entity_a"), (F.col("id") + 1).alias("entity_b"), F.lit(0.5).cast("double").alias("score"), F.lit("rejet").alias("zone")), entities)

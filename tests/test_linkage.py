@@ -137,3 +137,28 @@ def test_pair_lines(spark):
     row = (("KOFFI", ["X"], ["a", "b", "c", "d"], "Bar"), ("ADJA", [], [], None), ["name", "phone"], 0.876)
     df = spark.createDataFrame([(row,)], f"p struct<a_side:{side},b_side:{side},channels:array<string>,name_sim:double>")
     assert df.select(judging.described(F.lit(3)).alias("l")).first().l == '3. A: "KOFFI" (X, district a, b, c; Bar) | B: "ADJA" (place not known; ?) | names 0.88 | same phone'
+
+
+def test_judges_wait_and_ask_again():
+    now, slept, asked = [0.0], [], []
+    answers = iter([judging.Refused(400), judging.Refused(429), judging.Refused(503), "[]", None, judging.Refused(404)])
+
+    def sleep(seconds):
+        slept.append(seconds)
+        now[0] += seconds
+
+    def request(lines, options):
+        asked.append(options)
+        if isinstance(answer := next(answers), Exception):
+            raise answer
+        return answer
+
+    judge = judging.patient(request, {"thinking": 0, "temperature": 0}, ("thinking",), sleep=sleep, clock=lambda: now[0])
+    assert judge(["1. a | b"]) == "[]" and judge(["1. c | d"]) == ""
+    assert asked[0] == {"thinking": 0, "temperature": 0} and asked[1:] == [{"temperature": 0}] * 4
+    assert slept == [7.0, 10.0, 20.0, 7.0]
+    with pytest.raises(judging.Refused, match="404"):
+        judge(["1. e | f"])
+    tired = judging.patient(lambda *_: (_ for _ in ()).throw(judging.Refused(500)), sleep=sleep, clock=lambda: now[0])
+    with pytest.raises(judging.Refused, match="500"):
+        tired(["x"])
