@@ -112,4 +112,14 @@ FROM d LEFT JOIN n USING (doc_id) LEFT JOIN it USING (doc_id)""",
 WITH t AS (SELECT doc_id, sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g')) AS text_sha256 FROM documents)
 SELECT doc_id, min(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size, doc_id = min(doc_id) OVER g AS kept, text_sha256
 FROM t WINDOW g AS (PARTITION BY text_sha256)""",
+    "op10_suffix_array_dedup": r"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, hex(encode(coalesce(text, ''))) AS h, octet_length(encode(coalesce(text, ''))) AS n FROM documents),
+win AS (SELECT r, i, md5_number(substr(h, 2 * i + 1, 400)) AS k FROM (SELECT r, h, unnest(range(0, n - 199)) AS i FROM d)),
+hit AS (SELECT r, i FROM win SEMI JOIN (SELECT k FROM win GROUP BY k HAVING count(*) > 1) USING (k)),
+run AS (SELECT r, i, sum(fresh) OVER (PARTITION BY r ORDER BY i) AS g FROM (SELECT r, i, CASE WHEN i <= lag(i) OVER (PARTITION BY r ORDER BY i) + 200 THEN 0 ELSE 1 END AS fresh FROM hit)),
+gone AS (SELECT r, min(i) AS b, max(i) + 200 AS e FROM run GROUP BY r, g),
+k AS (SELECT r, string_agg(substr(h, 2 * p + 1, 2 * (b - p)), '' ORDER BY b) AS head, max(e) AS last, count(*) AS n_spans, sum(e - b) AS n_removed
+      FROM (SELECT gone.*, h, lag(e, 1, 0) OVER (PARTITION BY r ORDER BY b) AS p FROM gone JOIN d USING (r)) GROUP BY r)
+SELECT doc_id, CAST(n AS BIGINT) AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed, CAST(coalesce(n_spans, 0) AS BIGINT) AS n_spans, sha256(unhex(coalesce(head, '') || substr(h, 2 * coalesce(last, 0) + 1))) AS kept_sha256
+FROM d LEFT JOIN k USING (r)""",
 }
