@@ -124,7 +124,7 @@ def q_verdict_parse(spark, sf_dir):
     return rows.select("item_id", F.array_join(judging.verdicts(F.col("t"), F.lit(3)), ",").alias("verdicts"))
 
 
-@query()
+@query("SELECT item_id AS entity_a, item_id + 1 AS entity_b, CASE WHEN length(text) % 2 = 1 THEN 'diff' WHEN length(text) % 3 = 0 THEN 'meme' ELSE 'incertain' END AS verdict FROM benchmark")
 def q_two_pass_judging(spark, sf_dir):
     """A stand-in judge finds pairs the same whose line has an even length, and confirms every third of them."""
     def answer(said):

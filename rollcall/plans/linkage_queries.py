@@ -101,12 +101,27 @@ def q_jaro_winkler(spark, sf_dir):
     return _pairs(spark, sf_dir).select("a", "b", F.round(similarity.jaro_winkler_udf(F.col("a_side.name_norm"), F.col("b_side.name_norm")), 6).alias("jw"))
 
 
-@query()
+def _ratio(a: str, b: str) -> str:
+    """Twice the common subsequence over both lengths, as SQL: the subsequence by one machine word for each pair, a bit for each letter of b (120 at most)."""
+    full = f"((1::HUGEINT << length({b})::INT) - 1)"
+    masks = f"list_transform(string_split({a}, ''), lambda c: list_sum(list_transform(range(length({b})), lambda j: CASE WHEN substr({b}, j + 1, 1) = c THEN 1::HUGEINT << j::INT ELSE 0::HUGEINT END))::HUGEINT)"
+    zeros = f"length({b}) - bit_count(list_reduce(list_prepend({full}, {masks}), lambda v, m: ((v + (v & m)) | (v - (v & m))) & {full}))"
+    return f"CASE WHEN {a} = '' OR {b} = '' THEN 0.0::DOUBLE ELSE 2.0::DOUBLE * ({zeros}) / (length({a}) + length({b})) END"
+
+
+_WORDS = "list_filter(string_split(name_{s}, ' '), lambda x: x <> '')"
+_PARTS_OF = "list_sort(list_distinct(list_filter({x}, lambda w: {n} list_contains({y}, w))))"
+
+
+@query(_NAMES + f""", w AS (SELECT a, b, {_WORDS.format(s="a")} AS wa, {_WORDS.format(s="b")} AS wb FROM pn),
+p AS (SELECT a, b, array_to_string({_PARTS_OF.format(x="wa", y="wb", n="")}, ' ') AS c, array_to_string({_PARTS_OF.format(x="wa", y="wb", n="NOT")}, ' ') AS l, array_to_string({_PARTS_OF.format(x="wb", y="wa", n="NOT")}, ' ') AS r FROM w),
+j AS (SELECT *, trim(c || ' ' || l) AS cl, trim(c || ' ' || r) AS cr FROM p)
+SELECT a, b, round(CASE WHEN c <> '' AND (l = '' OR r = '') THEN 1.0::DOUBLE ELSE greatest({_ratio("cl", "cr")}, {_ratio("c", "cl")}, {_ratio("c", "cr")}) END, 6) AS token_set FROM j""")
 def q_token_set(spark, sf_dir):
     return _pairs(spark, sf_dir).select("a", "b", F.round(similarity.token_set_udf(F.col("a_side.name_norm"), F.col("b_side.name_norm")), 6).alias("token_set"))
 
 
-@query()
+@query(_NAMES + f""", w AS (SELECT a, b, array_to_string(list_sort({_WORDS.format(s="a")}), ' ') AS sa, array_to_string(list_sort({_WORDS.format(s="b")}), ' ') AS sb FROM pn) SELECT a, b, round({_ratio("sa", "sb")}, 6) AS token_sort FROM w""")
 def q_token_sort(spark, sf_dir):
     return _pairs(spark, sf_dir).select("a", "b", F.round(similarity.token_sort_udf(F.col("a_side.name_norm"), F.col("b_side.name_norm")), 6).alias("token_sort"))
 
