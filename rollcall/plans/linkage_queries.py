@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rollcall.functions import scoring, similarity
-from rollcall.functions.text import blocking_tokens, canonical
+from rollcall.functions.text import GENERIC_WORDS, blocking_tokens, canonical
 from rollcall.operators import blocking, clustering, evaluation, exact, judging, linkage
 from rollcall.operators.components import components
 from rollcall.plans.catalogue import query
@@ -163,12 +163,23 @@ def q_stratified_sample(spark, sf_dir):
     return blocking.sample_by_zone(_scored(spark, sf_dir)).select("entity_a", "entity_b", "zone")
 
 
-@query()
+_GENERIC = ", ".join(f"'{w}'" for w in GENERIC_WORDS)
+_CORE = "array_to_string(list_sort(list_filter({w}, lambda x: length(x) >= 3 AND x NOT IN (" + _GENERIC + ") AND NOT regexp_full_match(x, '[0-9]+'))), ' ')"
+_FULL = _NAMES + f""", w AS (SELECT *, {_WORDS.format(s="a")} AS wa, {_WORDS.format(s="b")} AS wb FROM pn),
+p AS (SELECT *, array_to_string({_PARTS_OF.format(x="wa", y="wb", n="")}, ' ') AS c, array_to_string({_PARTS_OF.format(x="wa", y="wb", n="NOT")}, ' ') AS l, array_to_string({_PARTS_OF.format(x="wb", y="wa", n="NOT")}, ' ') AS r, {_CORE.format(w="wa")} AS ka, {_CORE.format(w="wb")} AS kb FROM w),
+j AS (SELECT *, trim(c || ' ' || l) AS cl, trim(c || ' ' || r) AS cr FROM p),
+n AS (SELECT *, greatest(jw, CASE WHEN c <> '' AND (l = '' OR r = '') THEN 1.0::DOUBLE ELSE greatest({_ratio("cl", "cr")}, {_ratio("c", "cl")}, {_ratio("c", "cr")}) END, {_ratio("ka", "kb")}) AS name,
+ greatest(CASE WHEN channels LIKE '%phone%' THEN {_RARITY.format(d='pd')} ELSE 0.0 END, CASE WHEN channels LIKE '%email%' THEN 0.8::DOUBLE * ({_RARITY.format(d='ed')}) ELSE 0.0 END)::DOUBLE AS contact, CASE WHEN same THEN 1.0 ELSE 0.0 END::DOUBLE AS geo FROM j),
+f AS (SELECT *, (0.65::DOUBLE * name + 0.2::DOUBLE * contact) + 0.15::DOUBLE * geo AS score FROM n),
+scored AS (SELECT a AS entity_a, b AS entity_b, channels, round_even(name, 4) AS name_sim, round_even(contact, 4) AS contact, geo, round_even(score, 4) AS score, CASE WHEN score >= 0.9 AND name >= 0.7 THEN 'fusion' WHEN score <= 0.6 OR name < 0.6 THEN 'rejet' ELSE 'zone_grise' END AS zone FROM f)"""
+
+
+@query(_FULL + " SELECT * FROM scored")
 def q_scored_pairs(spark, sf_dir):
     return linkage.scored_pairs(_parts(spark, sf_dir)).withColumn("channels", F.array_join("channels", ","))
 
 
-@query()
+@query(_FULL + " SELECT entity_a, entity_b, score FROM scored WHERE zone = 'fusion'")
 def q_merge_edges(spark, sf_dir):
     return linkage.merge_edges(_parts(spark, sf_dir)).select("entity_a", "entity_b", "score")
 
