@@ -13,8 +13,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from rollcall.llm.common import materialise, small, text_batches
-from rollcall.llm.hashing import mix
+from rollcall.llm.common import materialise, ranges, small, text_batches
+from rollcall.llm.hashing import mix, range_hashes
 
 UNKNOWN = "und"
 SALTS = 32
@@ -44,47 +44,59 @@ def _letters() -> tuple[np.ndarray, np.ndarray]:
     return np.array([p.isalpha() for p in points]), lower
 
 
-def grams(texts: pa.Array, bits: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """For the words (runs of letters) of all texts: the row of each, where its n-grams start, and the n-grams' numbers.
-
-    A word's n-grams are those of one to three lower-cased letters, the word's ends being letters of their own, that end
-    at its second letter, a later one or the closing end: three for each letter.
-    """
+def words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """For the words (runs of letters) of all texts: the row of each, their lower-cased letters end to end with a zero before and after each word, and how many of these each has."""
     is_letter, lower = _letters()
     encoded = [t.encode("utf-32-le", "surrogatepass") if t else b"" for t in texts.to_pylist()]
     offsets = np.cumsum([0, *[len(e) // 4 for e in encoded]])
     points = np.frombuffer(b"".join(encoded), np.uint32)
     letter = is_letter[points]
-    # every word gets one zero before it and one after it
     before = np.zeros(len(points), bool)
     before[1:] = letter[:-1]
     before[offsets[:-1][offsets[:-1] < len(points)]] = False
     start = letter & ~before
-    word = np.cumsum(start) - 1
     starts = np.flatnonzero(start)
     row = np.searchsorted(offsets, starts, side="right") - 1
     at = np.flatnonzero(letter)
-    of = word[at]
+    of = (np.cumsum(start) - 1)[at]
     sizes = np.bincount(of, minlength=len(starts)) + 2
-    first = np.cumsum(sizes) - sizes
     padded = np.zeros(int(sizes.sum()), np.uint64)
     padded[np.arange(len(at)) + 2 * of + 1] = lower[points[at]]
+    return row, padded, sizes
+
+
+def word_grams(padded: np.ndarray, sizes: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """Where each word's n-grams start, and the n-grams' numbers.
+
+    A word's n-grams are those of one to three lower-cased letters, the word's ends being letters of their own, that end
+    at its second letter, a later one or the closing end: three for each letter.
+    """
+    first = np.cumsum(sizes) - sizes
     # one n-gram of each length ends at every letter, and at the closing end those of two and three
     one, two = padded[:-2], padded[1:-1]
     three = padded[2:]
     shift = np.uint64(64 - bits)
     keys = np.stack([mix(three + np.uint64(1)), mix(three + (two << np.uint64(21)) + np.uint64(1 << 50)), mix(three + (two << np.uint64(21)) + (one << np.uint64(42)) + np.uint64(1 << 63))]) >> shift if len(padded) > 2 else np.zeros((3, 0), np.uint64)
     # position p of keys ends at padded[p + 2]; a word of n letters has padded first + 1 ... first + n + 1, from first + 2 on all three lengths lie in it
-    inner = np.repeat(first, sizes - 2) + np.arange(len(at)) - np.repeat(np.cumsum(sizes - 2) - (sizes - 2), sizes - 2)
-    return row, 3 * (np.cumsum(sizes - 2) - (sizes - 2)), keys[:, inner].T.astype(np.int64).ravel()
+    inner = ranges(first, sizes - 2)
+    return 3 * (np.cumsum(sizes - 2) - (sizes - 2)), keys[:, inner].T.astype(np.int64).ravel()
+
+
+def grams(texts: pa.Array, bits: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """For the words of all texts: the row of each, where its n-grams start, and the n-grams' numbers."""
+    row, padded, sizes = words(texts)
+    return row, *word_grams(padded, sizes, bits)
 
 
 def word_scores(texts: pa.Array, table: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
-    """Row of each word, and its log-likelihood in each language (words x languages)."""
-    row, first, found = grams(texts, bits)
+    """Row of each word, and its log-likelihood in each language (words x languages). Equal words (by a 64-bit hash) are scored once."""
+    row, padded, sizes = words(texts)
     if not len(row):
         return row, np.zeros((0, table.shape[1]))
-    return row, np.add.reduceat(table[found], first, axis=0, dtype=np.float64)
+    first = np.cumsum(sizes) - sizes
+    _, at, same = np.unique(range_hashes(padded, first + 1, first + sizes - 1), return_index=True, return_inverse=True)
+    begins, found = word_grams(padded[ranges(first[at], sizes[at])], sizes[at], bits)
+    return row, np.add.reduceat(table[found], begins, axis=0, dtype=np.float64)[same]
 
 
 def mixtures(row: np.ndarray, scores: np.ndarray, n: int, spec: Mixture, allowed: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
@@ -100,13 +112,13 @@ def mixtures(row: np.ndarray, scores: np.ndarray, n: int, spec: Mixture, allowed
     likely = np.exp(scores - top[:, None])
     local = np.repeat(np.arange(len(rows)), words[:, 0])
     mine = share[rows]
-    for _ in range(spec.rounds):
-        joint = likely * mine[local]
-        joint /= np.maximum(joint.sum(1, keepdims=True), 1e-300)
-        mine = np.add.reduceat(joint, starts, axis=0) / words
+    # with one language to choose from there is nothing to fit
+    for _ in range(spec.rounds if k > 1 and (mine > 0).sum(1).max() > 1 else 0):
+        given = np.maximum(np.einsum("wk,wk->w", likely, mine[local]), 1e-300)
+        mine = mine * np.add.reduceat(likely / given[:, None], starts, axis=0) / words
     share[rows] = mine
     total = np.zeros(n)
-    total[rows] = np.add.reduceat(np.log(np.maximum((likely * mine[local]).sum(1), 1e-300)) + top, starts)
+    total[rows] = np.add.reduceat(np.log(np.maximum(np.einsum("wk,wk->w", likely, mine[local]), 1e-300)) + top, starts)
     return share, total
 
 

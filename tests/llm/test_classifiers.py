@@ -87,6 +87,15 @@ def test_quality(spark):
     assert {round(r.score, 6) for r in quality.score(docs, none).collect()} == {0.5}
 
 
+def test_equal_words_score_alike():
+    rng = np.random.default_rng(6)
+    table = rng.normal(size=(1 << 12, 3)).astype(np.float32)
+    texts = ["ab c AB", None, "", "1 2", "É ab", "c " * 50, "x" * 5_000 + " x"]
+    row, scores = langid.word_scores(pa.array(texts), table, 12)
+    of, first, found = langid.grams(pa.array(texts), 12)
+    assert (row == of).all() and np.allclose(scores, [table[found[a:b]].sum(0, dtype=float) for a, b in zip(first, [*first[1:], len(found)])])
+
+
 def test_grams_of_words():
     row, first, found = langid.grams(pa.array(["ab c", None, "", "1 2", "É", "AB"]), 12)
     assert row.tolist() == [0, 0, 4, 5] and np.diff(np.r_[first, len(found)]).tolist() == [6, 3, 3, 6]
