@@ -18,9 +18,10 @@ from rollcall.llm.sampling import labelled_sample
 
 @dataclass(frozen=True)
 class Crf:
-    """rows: labelled rows to learn from at most; steps and rate of the gradient ascent; l2: penalty on the weights."""
+    """rows: labelled rows to learn from at most; rounds: how often the lines of bad documents are labelled, at most; steps and rate of the gradient ascent; l2: penalty on the weights."""
 
     rows: int = 6_000
+    rounds: int = 3
     steps: int = 160
     rate: float = 0.15
     l2: float = 1e-4
@@ -133,10 +134,10 @@ def marginals(rows: np.ndarray, scores: np.ndarray, move: np.ndarray) -> tuple[n
     return belief[:, 1] / belief.sum(1), moves
 
 
-def learn(rows: np.ndarray, bins: np.ndarray, labels: np.ndarray, spec: Crf) -> tuple[np.ndarray, np.ndarray]:
+def learn(rows: np.ndarray, bins: np.ndarray, labels: np.ndarray, spec: Crf, start: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
     """Weights of the lines and of the moves that make the labels of the lines likeliest (Adam on the exact gradient)."""
     at = active(rows, bins)
-    total = np.zeros(N_WEIGHTS + 4)
+    total = np.zeros(N_WEIGHTS + 4) if start is None else start
     seen = np.bincount(at.ravel(), np.repeat(labels, at.shape[1]).astype(float), N_WEIGHTS)
     inner = rows[1:] == rows[:-1]
     seen_moves = np.bincount(2 * labels[:-1][inner] + labels[1:][inner], minlength=4)
@@ -152,44 +153,109 @@ def learn(rows: np.ndarray, bins: np.ndarray, labels: np.ndarray, spec: Crf) ->
     return total[:N_WEIGHTS], total[N_WEIGHTS:].reshape(2, 2)
 
 
-def pooled(rows: np.ndarray, size: np.ndarray, good: np.ndarray, n: int, prior: float) -> np.ndarray:
-    """The mean of the lines' P(good), weighted by length, for each of n rows; prior where there are no lines."""
+def learn_lines(rows: np.ndarray, size: np.ndarray, bins: np.ndarray, labels: np.ndarray, spec: Crf) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Weights, moves and the labels of the lines that these were learned from, by hard EM from the labels that the lines' documents have.
+
+    Every line of a good document is good. Those of a bad one are what weights learned from lines on their own make
+    of them, then what the weights of the chain do; but lines of at least half its bytes have to be bad: the likeliest ones.
+    """
+    inside = np.flatnonzero(labels == 0)
+
+    def relabelled(good: np.ndarray) -> np.ndarray:
+        of, good = rows[inside], good[inside]
+        worst = np.lexsort((good, of))
+        n_bytes = size[inside][worst]
+        first = np.flatnonzero(np.r_[True, of[1:] != of[:-1]])
+        lengths = np.diff(np.r_[first, len(of)])
+        before = np.cumsum(n_bytes) - n_bytes
+        before -= np.repeat(before[first], lengths)
+        least = np.repeat(np.add.reduceat(n_bytes, first), lengths) / 2
+        out = labels.copy()
+        out[inside[worst]] = (good[worst] > 0.5) & (before >= least)
+        return out
+
+    def chain(of: np.ndarray, start: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        w, move = learn(of, bins, lines_of, spec, start)
+        return w, move, marginals(of, w[active(of, bins)].sum(1), move)[0]
+
+    lines_of = labels
+    if spec.rounds and len(inside):
+        lines_of = relabelled(chain(np.arange(len(rows)))[2])
+    w, move, good = chain(rows)
+    for _ in range(spec.rounds - 1 if len(inside) else 0):
+        fresh = relabelled(good)
+        if (fresh == lines_of).all():
+            break
+        lines_of = fresh
+        w, move, good = chain(rows, np.r_[w, move.ravel()])
+    return w, move, lines_of
+
+
+def pooled(rows: np.ndarray, size: np.ndarray, good: np.ndarray, n: int, empty: float) -> np.ndarray:
+    """The mean of the lines' P(good), weighted by length, for each of n rows; empty where there are no lines."""
     weight = np.bincount(rows, size, n)
-    return np.where(weight > 0, np.bincount(rows, size * good, n) / np.maximum(weight, 1), prior)
+    return np.where(weight > 0, np.bincount(rows, size * good, n) / np.maximum(weight, 1), empty)
+
+
+def scaled(mean: np.ndarray, scale: np.ndarray) -> np.ndarray:
+    """The probability that a document is good, from the mean of its lines' P(good)."""
+    mean = np.clip(mean, 1e-6, 1 - 1e-6)
+    return 1 / (1 + np.exp(-scale[0] * np.log(mean / (1 - mean)) - scale[1]))
+
+
+def learn_scale(mean: np.ndarray, labels: np.ndarray) -> np.ndarray:
+    """Slope and offset of that probability's logit in the mean's, by Newton steps with a small penalty for leaving 1 and 0. They stay so with one label only, or where a larger mean would not be better."""
+    start = np.array([1.0, 0.0])
+    if len(set(labels.tolist())) < 2:
+        return start
+    mean = np.clip(mean, 1e-6, 1 - 1e-6)
+    x = np.stack([np.log(mean / (1 - mean)), np.ones(len(mean))], axis=1)
+    scale = start
+    for _ in range(20):
+        p = scaled(mean, scale)
+        slope = x.T @ (labels - p) - (scale - start)
+        step = np.linalg.solve((x * (p * (1 - p))[:, None]).T @ x + np.eye(2), slope)
+        scale = scale + step * min(1.0, 2 / np.abs(step).max()) if step.any() else scale
+    return scale if scale[0] > 0 else start
 
 
-def train(docs: DataFrame, labels: DataFrame, label_col: str = "quality", id_col: str = "doc_id", text_col: str = "text", spec: Crf = Crf()) -> tuple[list[float], list[float], float]:
-    """Weights, moves and prior from at most spec.rows labelled documents (see labelled_sample), in one task.
+def train(docs: DataFrame, labels: DataFrame, label_col: str = "quality", id_col: str = "doc_id", text_col: str = "text", spec: Crf = Crf()) -> tuple[list[float], list[float], list[float], float]:
+    """Weights, moves, scale (see scaled) and prior from at most spec.rows labelled documents (see labelled_sample), in one task.
 
-    A document's label is taken for each of its lines. Without any usable label all weights are zero and the prior is one half.
+    The lines' labels are found from the documents' (see learn_lines). Without any usable label all weights are zero and the prior is one half.
     """
     rows = labelled_sample(docs, labels, label_col, id_col, text_col, spec.rows)
 
     def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in text_batches(batches, 2):
-            of, _, bins = lines(batch.column(2))
-            cut = np.searchsorted(of, np.arange(batch.num_rows + 1)) * len(BINS)
-            packed = bins.astype(np.uint8).tobytes()
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array([packed[a:b] for a, b in zip(cut, cut[1:])], pa.binary())], names=["o", "y", "f"])
+            of, size, bins = lines(batch.column(2))
+            cut = np.searchsorted(of, np.arange(batch.num_rows + 1))
+            bins, size = bins.astype(np.uint8), size.astype(np.int32)
+            packed = [pa.array([x[a:b].tobytes() for a, b in zip(cut, cut[1:])], pa.binary()) for x in (bins, size)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *packed], names=["o", "y", "f", "s"])
 
     def fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        texts = [(y, np.frombuffer(f, np.uint8).reshape(-1, len(BINS)).astype(np.int32)) for b in batches for y, f in zip(b.column(1).to_pylist(), b.column(2).to_pylist())]
+        texts = [(y, np.frombuffer(f, np.uint8).reshape(-1, len(BINS)).astype(np.int32), np.frombuffer(s, np.int32)) for b in batches for y, f, s in zip(*(b.column(i).to_pylist() for i in (1, 2, 3)))]
         if not texts:
             return
-        sizes = [len(f) for _, f in texts]
-        label = np.array([int(y > 0) for y, _ in texts])
-        w, move = learn(np.repeat(np.arange(len(texts)), sizes), np.concatenate([f for _, f in texts]), np.repeat(label, sizes), spec)
-        values = np.r_[w, move.ravel(), (label.sum() + 0.5) / (len(label) + 1)]
+        n_lines = [len(s) for _, _, s in texts]
+        label = np.array([int(y > 0) for y, _, _ in texts])
+        size = np.concatenate([s for _, _, s in texts]).astype(np.int64)
+        rows, bins = np.repeat(np.arange(len(texts)), n_lines), np.concatenate([f for _, f, _ in texts])
+        w, move, _ = learn_lines(rows, size, bins, np.repeat(label, n_lines), spec)
+        some = np.array(n_lines) > 0
+        mean = pooled(rows, size, marginals(rows, w[active(rows, bins)].sum(1), move)[0], len(texts), 0.5)
+        values = np.r_[w, move.ravel(), learn_scale(mean[some], label[some]), (label.sum() + 0.5) / (len(label) + 1)]
         yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(values))), pa.array(values)], names=["at", "w"])
 
-    made = rows.mapInArrow(extract, "o long, y int, f binary").repartition(1).sortWithinPartitions("o", "y").mapInArrow(fit, "at long, w double").collect()
-    values = [r.w for r in sorted(made)] or [0.0] * (N_WEIGHTS + 4) + [0.5]
-    return values[:N_WEIGHTS], values[N_WEIGHTS:-1], values[-1]
+    made = rows.mapInArrow(extract, "o long, y int, f binary, s binary").repartition(1).sortWithinPartitions("o", "y").mapInArrow(fit, "at long, w double").collect()
+    values = [r.w for r in sorted(made)] or [0.0] * (N_WEIGHTS + 4) + [1.0, 0.0, 0.5]
+    return values[:N_WEIGHTS], values[N_WEIGHTS:-3], values[-3:-1], values[-1]
 
 
-def score(docs: DataFrame, model: tuple[list[float], list[float], float], text_col: str = "text", out: str = "score") -> DataFrame:
+def score(docs: DataFrame, model: tuple[list[float], list[float], list[float], float], text_col: str = "text", out: str = "score") -> DataFrame:
     """docs with the quality of each text, 0 to 1, added (a column of that name is replaced). Null, empty and blank-lined texts get the prior. No shuffle."""
-    weights, moves, prior = np.array(model[0]), np.array(model[1]).reshape(2, 2), model[2]
+    weights, moves, scale, prior = np.array(model[0]), np.array(model[1]).reshape(2, 2), np.array(model[2]), model[3]
     kept = [f for f in docs.schema.fields if f.name != out]
     rows = docs.select(*[F.col(f"`{f.name}`") for f in kept], F.col(f"`{text_col}`").alias("__rc_text"))
 
@@ -197,6 +263,6 @@ def score(docs: DataFrame, model: tuple[list[float], list[float], float], text_c
         for batch in text_batches(batches, len(kept)):
             of, size, bins = lines(batch.column(len(kept)))
             good, _ = marginals(of, weights[active(of, bins)].sum(1), moves)
-            yield pa.RecordBatch.from_arrays([*batch.columns[: len(kept)], pa.array(pooled(of, size, good, batch.num_rows, prior))], names=[*[f.name for f in kept], out])
+            yield pa.RecordBatch.from_arrays([*batch.columns[: len(kept)], pa.array(np.where(np.bincount(of, minlength=batch.num_rows) > 0, scaled(pooled(of, size, good, batch.num_rows, 0.5), scale), prior))], names=[*[f.name for f in kept], out])
 
     return rows.mapInArrow(run, T.StructType([*kept, T.StructField(out, T.DoubleType())]))

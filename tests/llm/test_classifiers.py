@@ -87,6 +87,40 @@ def test_quality(spark):
     assert {round(r.score, 6) for r in quality.score(docs, none).collect()} == {0.5}
 
 
+def test_lines_of_bad_documents_are_told_apart():
+    rng = random.Random(5)
+    prose = lambda: " ".join("".join(rng.choice("abcdefgh") for _ in range(rng.randrange(2, 9))) for _ in range(rng.randrange(8, 25))) + "."
+    junk = lambda: "a | b | c | ## | d | " * rng.randrange(9, 12)
+    texts, truth, labels = [], [], []
+    for _ in range(300):
+        n, bad = rng.randrange(3, 9), rng.random() < 0.5
+        at = rng.randrange(n)  # in a bad document a run of junk, which has most of its bytes
+        kinds = [not (bad and at <= i < at + (2 * n + 2) // 3) for i in range(n)]
+        texts.append("\n".join((prose if k else junk)() for k in kinds))
+        truth += kinds
+        labels += [int(not bad)] * n
+    rows, size, bins = quality.lines(pa.array(texts))
+    truth, labels = np.array(truth), np.array(labels)
+    _, _, kept = quality.learn_lines(rows, size, bins, labels, quality.Crf(rounds=0))
+    w, move, found = quality.learn_lines(rows, size, bins, labels, quality.Crf())
+    assert (kept == labels).all() and (found[labels == 1] == 1).all()
+    share = [np.sum(size * (found == 0) * (rows == r)) / np.sum(size * (rows == r)) for r in np.unique(rows[labels == 0])]
+    assert min(share) >= 0.5
+    # lines by the document's label alone, then by the labels that were found
+    assert np.mean(kept == truth) < 0.9 < 0.95 < np.mean(found == truth)
+    good, _ = quality.marginals(rows, w[quality.active(rows, bins)].sum(1), move)
+    assert np.mean((good > 0.5) == truth) > 0.95
+
+
+def test_lines_with_only_one_label():
+    rows, size, bins = quality.lines(pa.array(["one line\ntwo lines", "three"]))
+    for label in (0, 1):
+        _, _, found = quality.learn_lines(rows, size, bins, np.full(3, label), quality.Crf(steps=5))
+        assert (found[[0, 2]] == label).all() if label else found[2] == 0
+    empty = quality.learn_lines(rows[:0], size[:0], bins[:0], np.zeros(0, int), quality.Crf(steps=2))
+    assert len(empty[2]) == 0
+
+
 def test_equal_words_score_alike():
     rng = np.random.default_rng(6)
     table = rng.normal(size=(1 << 12, 3)).astype(np.float32)
