@@ -12,9 +12,11 @@ from pyspark.sql import functions as F
 
 from rollcall.storage import BROADCAST_ROWS, materialise, small, table
 
-__all__ = ["BROADCAST_ROWS", "ROW", "drop_rows", "flat_bytes", "materialise", "numbered", "ranges", "small", "table", "text_batches", "with_row"]
+__all__ = ["BROADCAST_ROWS", "HEAVY_ROWS", "HEAVY_SHARE", "ROW", "drop_rows", "flat_bytes", "join_spread", "materialise", "numbered", "ranges", "small", "table", "text_batches", "with_row"]
 
 ROW = "__rc_row"
+#: A group of more rows than this, and than one in HEAVY_SHARE of all, is joined by broadcast: there are fewer than HEAVY_SHARE of them.
+HEAVY_ROWS, HEAVY_SHARE = 1_000, 1_000
 
 
 def with_row(df: DataFrame, *columns: Column) -> DataFrame:
@@ -38,6 +40,17 @@ def drop_rows(docs: DataFrame, dropped: DataFrame) -> DataFrame:
     return docs.join(small(materialise(dropped.select(ROW))), ROW, "left_anti").drop(ROW)
 
 
+def join_spread(rows: DataFrame, side: DataFrame, key: str, n: str, total: int) -> DataFrame:
+    """rows, total of them, joined with side, which has one row for each of their keys and in column n (left out) how many rows have it.
+
+    Keys of heavy groups are joined by broadcast, so that no key brings many rows to one task. Both are read twice: they should be materialised.
+    """
+    limit = max(HEAVY_ROWS, total // HEAVY_SHARE)
+    heavy = F.broadcast(side.where(F.col(n) > limit).drop(n))
+    light = rows.join(heavy.select(key), key, "left_anti").join(side.where(F.col(n) <= limit).drop(n), key)
+    return light.unionByName(rows.join(heavy, key))
+
+
 def text_batches(batches: Iterable[pa.RecordBatch], text: int, limit: int = 1 << 19) -> Iterator[pa.RecordBatch]:
     """The same rows in smaller batches: texts of at most limit bytes together, or one longer text."""
     for batch in batches:

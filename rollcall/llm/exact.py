@@ -5,11 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rollcall.llm.common import BROADCAST_ROWS, ROW, drop_rows, materialise, numbered, small, with_row
+from rollcall.llm.common import BROADCAST_ROWS, HEAVY_ROWS, HEAVY_SHARE, ROW, drop_rows, materialise, numbered, small, with_row
 
 PREFIX_CHARS = 256
-#: A group of more rows than this, and than one in HEAVY_SHARE of all, is joined by broadcast: there are fewer than HEAVY_SHARE of them.
-HEAVY_ROWS, HEAVY_SHARE = 1_000, 1_000
 
 
 def normalised(text: Column) -> Column:

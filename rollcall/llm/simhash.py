@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from rollcall.llm.common import ROW, drop_rows, materialise, numbered, text_batches, with_row
+from rollcall.llm.common import ROW, drop_rows, join_spread, materialise, numbered, text_batches, with_row
 from rollcall.operators.components import components
 
 SHINGLE, SEED, RADIUS = 3, 42, 2
@@ -187,14 +187,17 @@ def simhash_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     component: the smallest id (null after all others), of rows that repeat it the first. Empty tables give
     no rows. docs must repeat its rows in the same order in every pass, as a table does.
     """
+    if radius not in (0, 1, 2):
+        raise ValueError(f"radius {radius}: keys of two of four blocks find all links only up to 2 bits")
     rows = materialise(fingerprints(docs, id_col, text_col, shingle, seed))
     first = F.struct(F.col(id_col).isNull().alias("none"), F.col(id_col).alias("id"), F.col(ROW).alias("row"))
-    nodes = materialise(rows.groupBy("fp").agg(F.min(first).alias("first")))
+    nodes = materialise(rows.groupBy("fp").agg(F.min(first).alias("first"), F.count("*").alias("n")))
     roots = components(near_edges(nodes.select("fp"), radius, hot))
-    rooted = materialise(nodes.join(roots, nodes.fp == roots.node, "left").select("fp", "first", F.coalesce("root", "fp").alias("root")))
-    tops = rooted.groupBy("root").agg(F.min("first").alias("top"))
-    named = rooted.join(tops, "root").select("fp", "top")
-    return rows.join(named, "fp").select(ROW, id_col, "fp", F.col("top.id").alias("component_id"), (F.col("top.row") == F.col(ROW)).alias("kept"))
+    rooted = materialise(nodes.join(roots, nodes.fp == roots.node, "left").select("fp", "n", "first", F.coalesce("root", "fp").alias("root")))
+    # neither a component of many fingerprints nor a fingerprint of many rows is one task's
+    tops = materialise(rooted.groupBy("root").agg(F.min("first").alias("top"), F.count("*").alias("prints")))
+    named = materialise(join_spread(rooted.select("fp", "n", "root"), tops, "root", "prints", rooted.count()).select("fp", "n", "top"))
+    return join_spread(rows, named, "fp", "n", rows.count()).select(ROW, id_col, "fp", F.col("top.id").alias("component_id"), (F.col("top.row") == F.col(ROW)).alias("kept"))
 
 
 def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -1,9 +1,11 @@
 import random
 
 import numpy as np
+import pytest
 import xxhash
 from pyspark.sql import functions as F
 
+from rollcall.llm import common
 from rollcall.llm.simhash import drop_near_copies, fingerprint, forest, near_edges, near_pairs, simhash_groups
 
 
@@ -62,7 +64,9 @@ def test_edges_connect_like_all_links_even_if_every_key_is_hot(spark):
         assert sorted(map(sorted, got.values())) == sorted(map(sorted, expected.values()))
 
 
-def test_groups_against_brute_force(spark):
+@pytest.mark.parametrize("heavy", [1_000, 1])
+def test_groups_against_brute_force(spark, monkeypatch, heavy):
+    monkeypatch.setattr(common, "HEAVY_ROWS", heavy)
     rng = random.Random(7)
     vocabulary = [f"w{i}" for i in range(400)]
     texts = []
@@ -88,6 +92,11 @@ def test_groups_against_brute_force(spark):
     assert {r.doc_id for r in kept.collect()} == set(want.values())
 
 
+def test_radius_beyond_the_keys_is_refused(spark):
+    with pytest.raises(ValueError, match="radius 3"):
+        simhash_groups(spark.createDataFrame([(1, "a")], "doc_id long, text string"), radius=3)
+
+
 def test_edge_cases(spark):
     docs = spark.createDataFrame([(1, "a b c d"), (1, "a b c d"), (None, "a b c d"), (None, "alone in the world")], "doc_id long, text string").coalesce(1)
     rows = simhash_groups(docs).collect()
