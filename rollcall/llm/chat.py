@@ -165,7 +165,7 @@ def with_depth(calls: DataFrame, row_calls: int = ROW_CALLS) -> DataFrame:
     placed = held.select("conv", F.explode(F.arrays_zip("ids", _levels(F.col("ids"), F.col("afters")).alias("depth"))).alias("x")).select("conv", F.col("x.ids").alias("call_id"), F.col("x.depth").alias("depth"))
 
     long = materialise(edges.join(sizes.where(F.col("count") > row_calls).select("conv"), "conv"))
-    waiting = nodes.join(long.select("conv").distinct(), "conv")
+    waiting = nodes.join(sizes.where(F.col("count") > row_calls).select("conv"), "conv")
     level = 0
     while long.limit(1).count():
         ready = materialise(waiting.join(long.select("conv", "call_id").distinct(), ["conv", "call_id"], "left_anti"))
@@ -185,7 +185,8 @@ def format_messages(messages: DataFrame, schemas: DataFrame, calls=parsed_calls,
     """One row for each message: conv, turn, n_calls, n_linked, n_valid, json.
 
     json is canonical: keys sorted, no blanks, control characters escaped; `calls` holds the message's calls
-    with their results, in topological order (depth, seq; those of a cycle last). calls and results are
+    with their results, in topological order (depth, seq; those of a cycle last), and with their depth, null in a
+    cycle, which orders calls of different messages of a conversation too. calls and results are
     functions of (messages with ROW, conv, turn, role, text) that return what parsed_calls and parsed_results do. Nothing
     is gathered by conversation but the calls that wait for each other (see with_depth), so one conversation
     may hold any share of the rows. Null roles and texts are null in json; null conversations and turns, and
@@ -197,7 +198,7 @@ def format_messages(messages: DataFrame, schemas: DataFrame, calls=parsed_calls,
     field = lambda key, value: F.concat(F.lit(f'"{key}":'), value)
     comma = F.lit(",")
     call = F.concat(
-        F.lit("{"), field("arguments", F.coalesce(canonical_object(F.col("arguments")), json_string(F.col("arguments")))), comma, field("id", json_string(F.col("call_id"))), comma,
+        F.lit("{"), field("arguments", F.coalesce(canonical_object(F.col("arguments")), json_string(F.col("arguments")))), comma, field("depth", F.coalesce(F.col("depth").cast("string"), F.lit("null"))), comma, field("id", json_string(F.col("call_id"))), comma,
         field("name", json_string(F.col("name"))), comma, field("problems", F.concat(F.lit("["), F.array_join(F.transform("problems", json_string), ","), F.lit("]"))), comma,
         field("result", json_string(F.col("result"))), F.lit("}"))
     by_message = full.groupBy(ROW).agg(

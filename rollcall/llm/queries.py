@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rollcall.llm import bpe, chat, decontaminate, exact, langid, quality, simhash, substring, suffix, toxicity
@@ -50,10 +50,24 @@ def op6_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _reply_calls(rows: DataFrame, role: str, text: str) -> DataFrame:
-    """The table has no tool calls, so each user turn is taken as a call of `reply`, which comes after the system turn if that is turn 0."""
+    """The table has no tool calls, so the turns that are no assistant's are taken as calls.
+
+    A user turn's first line is a call of `reply`. What stands below that line is the material for it, a call of `read`
+    that comes after `reply` in the text and before it in time. Any other turn is one call of `instruct`. Calls of turn 1
+    come after the call of turn 0, as a rule the system's. A message has two calls at most, whatever its text.
+    """
     name = lambda t: F.concat_ws("-", "conv", t)
-    arguments = F.to_json(F.struct(F.col(text).alias("text"), F.col("turn").alias("turn")))
-    return rows.where(F.col(role) != "assistant").select(ROW, "conv", "turn", F.lit(0).alias("seq"), name("turn").alias("call_id"), F.when(F.col(role) == "user", F.lit("reply")).otherwise(F.lit("instruct")).alias("name"), arguments.alias("arguments"), F.when(F.col("turn") == 1, F.array(name(F.lit(0)))).otherwise(F.array().cast("array<string>")).alias("after"))
+    first = F.when(F.col("turn") == 1, F.array(name(F.lit(0)))).otherwise(F.array().cast("array<string>"))
+    own, read = name("turn"), F.concat(name("turn"), F.lit(":read"))
+    request, material = F.substring_index(text, "\n", 1), F.col(text).substr(F.instr(text, "\n") + 1, F.length(text))
+    has_material = F.coalesce(F.contains(text, F.lit("\n")) & (material != ""), F.lit(False))
+
+    def call(i: Column, tool: str, words: Column, after: Column) -> Column:
+        return F.struct(i.alias("call_id"), F.lit(tool).alias("name"), F.to_json(F.struct("turn", words.alias("text"))).alias("arguments"), after.alias("after"))
+
+    asked = F.when(has_material, F.array(call(own, "reply", request, F.concat(first, F.array(read))), call(read, "read", material, first))).otherwise(F.array(call(own, "reply", request, first)))
+    calls = F.when(F.col(role) == "user", asked).otherwise(F.array(call(own, "instruct", F.col(text), first)))
+    return rows.where(F.col(role) != "assistant").select(ROW, "conv", "turn", F.posexplode(calls).alias("seq", "c")).select(ROW, "conv", "turn", "seq", "c.*")
 
 
 def _reply_results(rows: DataFrame, role: str, text: str) -> DataFrame:
@@ -62,7 +76,7 @@ def _reply_results(rows: DataFrame, role: str, text: str) -> DataFrame:
 
 
 def op7_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
-    fields = [("reply", "text", "string", True), ("reply", "turn", "integer", True), ("instruct", "text", "string", True), ("instruct", "turn", "integer", True)]
+    fields = [(tool, field, kind, True) for tool in ("instruct", "read", "reply") for field, kind in (("text", "string"), ("turn", "integer"))]
     schemas = spark.sql("SELECT * FROM VALUES " + ", ".join(f"('{n}', '{f}', '{k}', {r})" for n, f, k, r in fields) + " AS s(name, field, kind, required)")
     return chat.format_messages(table(spark, sf_dir, "conversations"), schemas, _reply_calls, _reply_results)
 

@@ -1,7 +1,9 @@
 import json
 
+import pytest
 from pyspark.sql import functions as F
 
+from rollcall.llm import chat
 from rollcall.llm.chat import format_messages, with_depth, with_problems
 from rollcall.llm.common import ROW
 from rollcall.llm.queries import op7_chat_formatting
@@ -88,3 +90,76 @@ def test_the_query_links_each_turn_to_its_reply(spark, tmp_path):
     spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").write.parquet(str(tmp_path / "conversations.parquet"))
     got = sorted((str(r.conv_id), r.turn, r.n_calls, r.n_linked, r.n_valid, len(json.loads(r.json)["calls"])) for r in op7_chat_formatting(spark, str(tmp_path)).collect())
     assert got == [("1", 0, 1, 0, 1, 1), ("1", 1, 1, 0, 1, 1), ("1", 1, 1, 1, 1, 1), ("1", 2, 0, 0, 0, 0), ("2", 0, 1, 1, 0, 1), ("2", 1, 0, 0, 0, 0), ("2", 2, 1, 0, 1, 1), ("None", 0, 1, 0, 1, 1)]
+
+
+#: Turns with material below their first line, one-line ones, nulls, repeated and lost rows, turns out of order.
+TURNS = [
+    (1, 0, "system", "be kind\nand brief"), (1, 1, "user", "sum it up\none\n\n\"two\"\u0001"), (1, 2, "assistant", "three\nfour"), (1, 3, "user", "why?"), (1, 5, "user", "\nb"), (1, 4, "assistant", "so"),
+    (2, 0, "user", "a\n"), (2, 1, "user", "c\nd"), (2, 2, "assistant", None), (3, 0, "user", None), (3, 1, "tool", "x\ny"), (4, 7, "user", "é\n\n"), (4, 7, "user", "é\n\n"), (4, 8, "assistant", "once"),
+    (4, None, "user", "n\nm"), (None, 1, "user", "p\nq"), (5, 0, None, "r\ns"), (5, 1, "", ""),
+]
+
+
+def write_turns(spark, path, turns):
+    spark.createDataFrame(turns, "conv_id long, turn long, role string, text string").write.parquet(str(path / "conversations.parquet"))
+
+
+def by_hand(turns):
+    """What op7 returns, one message and one call at a time. Equal rows share what results there are for them in any order."""
+    name = lambda *of: "-".join(str(x) for x in of if x is not None)
+    messages = []
+    for conv, turn, role, text in turns:
+        first = [name(conv, 0)] if turn == 1 else []
+        own, calls = name(conv, turn), []
+        if role == "user":
+            request, *material = [None] if text is None else text.split("\n", 1)
+            material = [m for m in material if m]
+            calls.append([own, "reply", request, first + [own + ":read"] * len(material)])
+            calls += [[own + ":read", "read", m, first] for m in material]
+        elif role not in ("assistant", None):
+            calls.append([own, "instruct", text, first])
+        messages.append((conv, turn, role, text, calls))
+    known = {(m[0], c[0]): [] for m in messages for c in m[4] if m[0] is not None}
+    for m in messages:
+        for c in m[4]:
+            if m[0] is not None:
+                known[m[0], c[0]] += [(m[0], a) for a in c[3] if (m[0], a) in known]
+    depth_of = lambda key: 1 + max(map(depth_of, known.get(key, ())), default=-1)
+    answers = {}
+    for conv, turn, role, text in turns:
+        if role == "assistant" and conv is not None:
+            answers.setdefault((conv, name(conv, None if turn is None else turn - 1)), []).append(text)
+    rows = []
+    for conv, turn, role, text, calls in messages:
+        done = []
+        for seq, (i, tool, words, _) in enumerate(calls):
+            waiting, arguments = answers.get((conv, i), []), {k: v for k, v in (("text", words), ("turn", turn)) if v is not None}
+            problems = [f"missing {k}" for k in ("text", "turn") if k not in arguments]
+            done.append((depth_of((conv, i)), seq, {"id": i, "name": tool, "arguments": arguments, "problems": problems, "result": waiting.pop(0) if waiting else None}))
+        done = [c | {"depth": d} for d, _, c in sorted(done, key=lambda c: c[:2])]
+        body = json.dumps({"calls": done, "content": text, "role": role}, sort_keys=True, separators=(",", ":"), ensure_ascii=False)
+        rows.append((conv, turn, len(done), sum(c["result"] is not None for c in done), sum(not c["problems"] for c in done), body))
+    return sorted(rows, key=str)
+
+
+def test_the_query_orders_requests_behind_their_material(spark, tmp_path):
+    long = [(6, t, "user" if t % 2 else "assistant", f"ask {t}\nabout {t}") for t in range(chat.ROW_CALLS + 8)] + [(6, 0, "system", "first")]
+    write_turns(spark, tmp_path, TURNS + long)
+    got = sorted(map(tuple, op7_chat_formatting(spark, str(tmp_path)).collect()), key=str)
+    assert got == by_hand(TURNS + long)
+    calls = next(json.loads(r[-1])["calls"] for r in got if r[:2] == (1, 1))
+    assert [(c["name"], c["depth"], c["arguments"]["text"]) for c in calls] == [("read", 1, "one\n\n\"two\"\u0001"), ("reply", 2, "sum it up")]
+
+
+@pytest.mark.parametrize("stage, idle", [
+    ("link", lambda calls, results: calls.withColumn("result", F.lit(None).cast("string"))),
+    ("with_problems", lambda calls, schemas: calls.withColumn("problems", F.array().cast("array<string>"))),
+    ("with_depth", lambda calls: calls.withColumn("depth", F.lit(0))),
+    ("canonical_object", lambda raw: raw),
+])
+def test_no_stage_of_the_query_is_idle(spark, tmp_path, monkeypatch, stage, idle):
+    write_turns(spark, tmp_path, TURNS)
+    result = lambda: sorted(map(tuple, op7_chat_formatting(spark, str(tmp_path)).collect()), key=str)
+    whole = result()
+    monkeypatch.setattr(chat, stage, idle)
+    assert result() != whole
